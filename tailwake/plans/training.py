@@ -69,11 +69,20 @@ def split(rows: DataFrame, *key: str, train_percent: int = 80) -> tuple[DataFram
     return rows.filter(bucket < train_percent), rows.filter(bucket >= train_percent)
 
 
+def fit_delay(
+    rows: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED
+) -> PipelineModel:
+    """Delay model from featured, labelled rows. Blank categories are not learnt: they share the
+    bucket of unseen ones, at training and at inference."""
+    known = {c: F.nullif(F.col(c), F.lit("")) for c in CATEGORIES}
+    return delay_pipeline(trees, depth, seed).fit(rows.withColumns(known))
+
+
 def train(
     rows: DataFrame, trees: int = TREES, depth: int = DEPTH, k: int = CLUSTERS
 ) -> tuple[PipelineModel, PipelineModel]:
     """Both models from featured, labelled rows."""
-    return delay_pipeline(trees, depth).fit(rows), cluster_pipeline(k).fit(rows)
+    return fit_delay(rows, trees, depth), cluster_pipeline(k).fit(rows)
 
 
 def save_models(path: str, delay_model: PipelineModel, cluster_model: PipelineModel) -> None:

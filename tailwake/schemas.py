@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+
+_TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "float": T.FloatType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def _schema(text: str, nullable: bool = True) -> T.StructType:
+    """Schema from ``name type`` pairs; needs no running session, unlike ``fromDDL``."""
+    pairs = [field.split() for field in text.split(",")]
+    return T.StructType([T.StructField(n, _TYPES[t], nullable) for n, t in pairs])
+
 
 WEATHER_COLUMNS = ("precipitation_mm", "wind_knots", "visibility_m", "weather_code")
 
-WEATHER = StructType.fromDDL(
+WEATHER = _schema(
     "precipitation_mm float, wind_knots float, visibility_m float, weather_code int"
 )
 
-REPORT = StructType.fromDDL(
+REPORT = _schema(
     "flight_id string, callsign string, airline_icao string, aircraft_model string, "
     "registration string, origin string, destination string, "
     "latitude double, longitude double, "
@@ -18,9 +35,9 @@ REPORT = StructType.fromDDL(
     "timestamp bigint, ingested_at string"
 )
 
-EVENT = StructType(REPORT.fields).add("weather", WEATHER)
+EVENT = T.StructType(list(REPORT.fields)).add("weather", WEATHER)
 
-ENVELOPE = StructType.fromDDL("key string, value string, timestamp timestamp")
+ENVELOPE = _schema("key string, value string, timestamp timestamp")
 
 REPORT_COLUMNS = tuple(REPORT.names)
 
@@ -82,12 +99,11 @@ LIVE_COLUMNS = {
 # Columns the enriched reports need to feed silver, the payload and the live view.
 ENRICHED_COLUMNS = SILVER_COLUMNS + ("heading_deg", "risk_score_manual")
 
-TRAINING = StructType.fromDDL(
-    "aircraft_model string not null, airline_icao string not null, "
-    "precipitation_mm float not null, wind_knots float not null, visibility_m float not null, "
-    "weather_code int not null, altitude_ft int not null, speed_kn int not null, "
-    "heading_deg int not null, hour_utc int not null, day_of_week int not null, "
-    "weather_score float not null, traffic_density int not null, distance_km float not null, "
-    "route_deviation float not null, delay_minutes float not null, "
-    "latitude float not null, longitude float not null"
+TRAINING = _schema(
+    "aircraft_model string, airline_icao string, "
+    "precipitation_mm float, wind_knots float, visibility_m float, weather_code int, "
+    "altitude_ft int, speed_kn int, heading_deg int, hour_utc int, day_of_week int, "
+    "weather_score float, traffic_density int, distance_km float, route_deviation float, "
+    "delay_minutes float, latitude float, longitude float",
+    nullable=False,
 )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,8 +11,10 @@ from tailwake.functions.bands import below, capped, real, weighted
 
 def capacity(aircraft_model: Column) -> Column:
     """Seats by type from a 25-entry literal map; unknown or null types get the default."""
-    seats = F.create_map(*[F.lit(x) for x in chain(*K.AIRCRAFT_CAPACITY.items())])
-    return F.coalesce(F.element_at(seats, aircraft_model), F.lit(K.DEFAULT_CAPACITY))
+    seats = ", ".join(f"'{model}', {n}" for model, n in K.AIRCRAFT_CAPACITY.items())
+    return F.coalesce(
+        F.element_at(F.expr(f"map({seats})"), aircraft_model), F.lit(K.DEFAULT_CAPACITY)
+    )
 
 
 def affected_passengers(seats: Column) -> Column:

@@ -10,6 +10,12 @@ from tailwake.functions import airline, bands
 from tailwake.sources.workspace import materialize
 
 
+PERFORMANCE_INPUTS = (
+    "airline", "delay_category", "fdi_category", "predicted_delay_minutes", "fdi",
+    "affected_passengers", "estimated_compensation_eur",
+)
+
+
 def airline_performance(flights: DataFrame) -> DataFrame:
     """One row per airline; flights without an airline code are left out."""
 

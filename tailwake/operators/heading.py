@@ -25,14 +25,16 @@ def bearing(before: Column, after: Column) -> Column:
     return F.when(moved, F.degrees(F.atan2(east, north)))
 
 
-def track_heading(reports: DataFrame, slice_s: int = 3600) -> DataFrame:
+def track_heading(reports: DataFrame, slice_s: int = 21600) -> DataFrame:
     """(flight_id, timestamp, lat, lon, heading), one row per flight and second."""
     fix = F.struct(
         "ingested_at", F.col("latitude").alias("lat"), F.col("longitude").alias("lon")
     )
     in_slice = Window.partitionBy(*GROUP).orderBy("timestamp")
+    # The keys are filtered for nulls here, and joined from the left below, so that the two uses
+    # of the moves have the same plan and share their shuffles.
     moves = (
-        reports.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+        reports.dropna(subset=["flight_id", "timestamp", "latitude", "longitude"])
         .groupBy("flight_id", "timestamp")
         .agg(F.max(fix).alias("at"))
         .withColumn("slice", timing.slice_of(F.col("timestamp"), slice_s))
@@ -62,7 +64,7 @@ def track_heading(reports: DataFrame, slice_s: int = 3600) -> DataFrame:
     so_far = in_slice.rowsBetween(Window.unboundedPreceding, 0)
     return (
         moves.withColumn("in_slice", F.last("move", ignorenulls=True).over(so_far))
-        .join(entering, list(GROUP))
+        .join(entering, list(GROUP), "left")
         .select(
             "flight_id",
             "timestamp",

@@ -1,8 +1,8 @@
 """Aircraft rotations: which flights follow a flight on the same aircraft, and how soon.
 
-The lookup is a sweep over time slices as long as the horizon. Flights of one aircraft in one
-second are folded to one stop first, so a (registration, slice) group holds at most three marks
-per second of the horizon however many rows carry the registration, and the work is linear in the
+The lookup is a window over time slices as long as the horizon. Flights of one aircraft in one
+second are folded to one stop first, so a (registration, slice) group holds at most two rows per
+second of the horizon however many rows carry the registration, and the work is linear in the
 number of stops: no pair of flights is formed.
 """
 
@@ -16,6 +16,15 @@ from tailwake.functions import bands, ripple, timing
 from tailwake.operators.latest import within_retention
 
 KEY = ("registration", "timestamp")
+RIPPLE_INPUTS = ("registration", "destination", "predicted_delay_minutes", "hour_utc", "fdi")
+
+
+def rotations(flights: DataFrame) -> DataFrame:
+    """(registration, flight_id, timestamp) of the rows with a registration and a time."""
+    known = F.nullif(F.col("registration"), F.lit("")).isNotNull()
+    return flights.filter(known & (F.col("timestamp") != 0)).select(
+        "registration", "flight_id", "timestamp"
+    )
 
 
 def rotation_index(
@@ -24,71 +33,46 @@ def rotation_index(
     retention_s: int = K.ROTATION_HORIZON_S,
 ) -> DataFrame:
     """(registration, flight_id, timestamp of its last report); blank registrations left out."""
-    kept = within_retention(reports, now, retention_s)
-    known = F.nullif(F.col("registration"), F.lit("")).isNotNull()
     return (
-        kept.filter(known & (F.col("timestamp") != 0))
+        rotations(within_retention(reports, now, retention_s))
         .groupBy("registration", "flight_id")
         .agg(F.max("timestamp").alias("timestamp"))
     )
 
 
-def _marks(stops: DataFrame, horizon_s: int) -> DataFrame:
-    """Three marks per stop: itself, itself seen from the slice before, the end of its horizon."""
-    at = F.col("timestamp")
-    slice_ = timing.slice_of(at, horizon_s)
-
-    def mark(role: str, slice_: Column, when: Column) -> Column:
-        return F.struct(F.lit(role).alias("role"), slice_.alias("slice"), when.alias("at"))
-
-    marks = F.array(
-        mark("stop", slice_, at),
-        mark("ahead", slice_ - 1, at),
-        mark("end", slice_, at + horizon_s),
-    )
-    return stops.select("*", F.inline(marks))
-
-
 def onward_legs(index: DataFrame, horizon_s: int = K.ROTATION_HORIZON_S) -> DataFrame:
     """Per (registration, timestamp): flights later than it within the horizon, and the first.
 
-    ``index`` has one row per flight (``rotation_index`` or a live view). Of several next flights
+    ``index`` has one row per flight: ``rotation_index``, or ``rotations`` of a live view. Of several next flights
     in the same second the smallest id is taken.
     """
     stops = index.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("flights"), F.min("flight_id").alias("flight_id")
     )
-    # Backwards in time; at equal times the end of a horizon comes first, so the stops it
-    # reaches inclusively are not counted as beyond it.
-    is_stop = F.col("role") != "end"
-    backwards = Window.partitionBy("registration", "slice").orderBy(
-        F.col("at").desc(), bands.flag(is_stop)
-    )
-    seen = backwards.rowsBetween(Window.unboundedPreceding, -1)
-    later = F.coalesce(F.sum(F.when(is_stop, F.col("flights"))).over(seen), F.lit(0))
-    upcoming = F.last(
-        F.when(is_stop, F.struct("at", "flight_id")), ignorenulls=True
-    ).over(seen)
-    swept = _marks(stops, horizon_s).select(
-        *KEY, "slice", "role", later.alias("later"), upcoming.alias("upcoming")
-    )
-
-    def of(role: str, column: Column) -> Column:
-        return F.max(F.when(F.col("role") == role, column))
-
-    paired = (
-        swept.filter(F.col("role") != "ahead")
-        .groupBy(*KEY, "slice")
-        .agg(
-            (of("stop", F.col("later")) - of("end", F.col("later"))).alias("downstream_count"),
-            of("stop", F.col("upcoming")).alias("upcoming"),
-        )
-    )
+    # A stop looks no further than the end of the next slice, so each is placed in its own slice
+    # and, as something to look ahead to, in the one before.
+    own = timing.slice_of(F.col("timestamp"), horizon_s)
+    placed = stops.withColumn("slice", F.explode(F.array(own, own - 1)))
+    # Backwards in time both counts run over frames that only grow, which Spark evaluates in one
+    # pass; a frame from 1 to horizon seconds ahead would be summed anew for every row.
+    backwards = Window.partitionBy("registration", "slice").orderBy(F.col("timestamp").desc())
+
+    def flights_from(seconds_ahead: int) -> Column:
+        frame = backwards.rangeBetween(Window.unboundedPreceding, -seconds_ahead)
+        return F.coalesce(F.sum("flights").over(frame), F.lit(0))
+
+    upcoming = F.lag(F.struct("timestamp", "flight_id")).over(backwards)
+    swept = placed.select(
+        *KEY,
+        "slice",
+        (flights_from(1) - flights_from(horizon_s + 1)).alias("downstream_count"),
+        upcoming.alias("upcoming"),
+    ).filter(F.col("slice") == own)
     reached = F.col("downstream_count") > 0
-    return paired.select(
+    return swept.select(
         *KEY,
         "downstream_count",
-        F.when(reached, F.col("upcoming.at")).alias("next_timestamp"),
+        F.when(reached, F.col("upcoming.timestamp")).alias("next_timestamp"),
         F.when(reached, F.col("upcoming.flight_id")).alias("next_flight_id"),
     )
 
@@ -137,7 +121,7 @@ def next_flight_records(
     The self-join is on the id of the next flight, one row per flight, instead of all later
     flights of the aircraft.
     """
-    legs = onward_legs(rotation_index(flights), horizon_s).filter(
+    legs = onward_legs(rotations(flights), horizon_s).filter(
         F.col("next_flight_id").isNotNull()
     )
     here = (

@@ -7,7 +7,7 @@ slices of time, so one busy cell is spread over many tasks:
 
 * the next reading is looked up inside (cell, half hour), which after folding readings of the
   same second holds at most 3,600 rows;
-* the join key is (cell, five-minute slice); what is left of a hot slice is split by adaptive
+* the join key is (cell, ten-minute slice); what is left of a hot slice is split by adaptive
   skew-join handling.
 """
 
@@ -75,7 +75,7 @@ def attach_weather(
     readings: DataFrame,
     ttl_s: int = K.WEATHER_TTL_S,
     failed_ttl_s: int = K.FAILED_WEATHER_TTL_S,
-    slice_s: int = 300,
+    slice_s: int = 600,
 ) -> DataFrame:
     """Reports with a ``weather`` struct; null where no reading is valid at their time."""
     intervals = validity_intervals(readings, ttl_s, failed_ttl_s).withColumn(

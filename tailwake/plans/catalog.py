@@ -62,9 +62,15 @@ class Inputs:
     def rippled(self) -> DataFrame:
         return live.with_ripple(self.live)
 
+    def rippled_only(self, *columns: str) -> DataFrame:
+        """``rippled`` over just the columns a query shows and the ripple score needs."""
+        return live.with_ripple(
+            live.live_state(self.given, columns=(*rotation.RIPPLE_INPUTS, *columns))
+        )
+
     @property
     def performance(self) -> DataFrame:
-        return A.airline_performance(self.rippled)
+        return A.airline_performance(self.rippled_only(*A.PERFORMANCE_INPUTS))
 
     @property
     def labelled(self) -> DataFrame:
@@ -231,8 +237,11 @@ def route_airport_join(i: Inputs) -> DataFrame:
 
 
 def rotation_self_join(i: Inputs) -> DataFrame:
+    flights = live.live_state(
+        i.given, columns=(*rotation.KEY, "destination", "delay_category")
+    )
     return rotation.next_flight_records(
-        i.live.withColumn("last_seen", F.col("timestamp")),
+        flights.withColumn("last_seen", F.col("timestamp")),
         ("destination", "delay_category", "last_seen"),
     )
 
@@ -257,10 +266,8 @@ def rotation_recent(i: Inputs) -> DataFrame:
 
 
 def _onward(i: Inputs) -> DataFrame:
-    flights = i.live
-    return rotation.add_onward_legs(
-        flights, rotation.onward_legs(rotation.rotation_index(flights))
-    )
+    flights = live.live_state(i.given, columns=rotation.KEY)
+    return rotation.add_onward_legs(flights, rotation.onward_legs(rotation.rotations(flights)))
 
 
 def downstream_count(i: Inputs) -> DataFrame:
@@ -272,15 +279,16 @@ def next_flight(i: Inputs) -> DataFrame:
 
 
 def track_heading(i: Inputs) -> DataFrame:
-    return heading.track_heading(i.reports).withColumn("heading", F.round("heading", 6))
+    return heading.track_heading(i.reports, slice_s=3600).withColumn("heading", F.round("heading", 6))
 
 
 def ripple_effect(i: Inputs) -> DataFrame:
-    return serving.ripple_effect(i.rippled)
+    return serving.ripple_effect(i.rippled_only())
 
 
 def flight_impact(i: Inputs) -> DataFrame:
-    return serving.flight_impact(i.rippled)
+    shown = [c for c in serving.IMPACT_COLUMNS if c in S.LIVE_COLUMNS]
+    return serving.flight_impact(i.rippled_only(*shown))
 
 
 # --- aggregates ---
@@ -291,7 +299,7 @@ def batch_stats(i: Inputs) -> DataFrame:
 
 
 def aggregate_impact(i: Inputs) -> DataFrame:
-    return summaries.aggregate_impact(i.rippled).withColumns(
+    return summaries.aggregate_impact(i.rippled_only(*A.PERFORMANCE_INPUTS)).withColumns(
         {name: F.round(name, 6) for name in ("avg_fdi", "avg_res")}
     )
 
@@ -301,7 +309,7 @@ def airline_performance(i: Inputs) -> DataFrame:
 
 
 def dashboard_totals(i: Inputs) -> DataFrame:
-    flights = i.live
+    flights = live.live_state(i.given, columns=["delay_category"])
     return serving.dashboard_totals(flights, AL.scan_alerts(flights))
 
 
@@ -343,7 +351,7 @@ def list_airlines(i: Inputs) -> DataFrame:
 
 
 def airline_detail(i: Inputs) -> DataFrame:
-    return serving.airline_detail(i.rippled, "gia")
+    return serving.airline_detail(i.rippled_only(*A.PERFORMANCE_INPUTS), "gia")
 
 
 def airline_ranking(i: Inputs) -> DataFrame:
@@ -371,7 +379,7 @@ def top_alerts(i: Inputs) -> DataFrame:
 
 
 def alert_severity(i: Inputs) -> DataFrame:
-    return AL.add_severity(AL.scan_alerts(i.rippled)).select(
+    return AL.add_severity(AL.scan_alerts(i.rippled_only("delay_category"))).select(
         "flight_id", "fdi", "res", "res_category", "fdi_severity", "ripple_advice"
     )
 

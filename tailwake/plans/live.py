@@ -2,25 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tailwake import constants as K
 from tailwake import schemas as S
 from tailwake.operators.latest import latest_per_key, within_retention
-from tailwake.operators.rotation import add_ripple, onward_legs, rotation_index
+from tailwake.operators.rotation import add_ripple, onward_legs, rotations
 
 
-def live_columns(enriched: DataFrame) -> DataFrame:
-    """Enriched reports under the live view's column names."""
-    return enriched.select(*[F.col(src).alias(name) for name, src in S.LIVE_COLUMNS.items()])
+def live_columns(enriched: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Enriched reports under the live view's column names, all or the named ones."""
+    wanted = S.LIVE_COLUMNS if columns is None else columns
+    return enriched.select(*[F.col(S.LIVE_COLUMNS[name]).alias(name) for name in wanted])
 
 
 def live_state(
-    enriched: DataFrame, now: Column | int | None = None, ttl_s: int = K.LIVE_TTL_S
+    enriched: DataFrame,
+    now: Column | int | None = None,
+    ttl_s: int = K.LIVE_TTL_S,
+    columns: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Last report per flight; with a clock, of flights heard from within ``ttl_s``."""
-    current = within_retention(live_columns(enriched), now, ttl_s)
+    """Last report per flight; with a clock, of flights heard from within ``ttl_s``.
+
+    The record travels as one struct, which the optimizer does not prune: name the ``columns``
+    a query needs and only those are computed and shuffled. Key and times always are.
+    """
+    if columns is not None:
+        columns = list(dict.fromkeys(["flight_id", "timestamp", "updated_at", *columns]))
+    current = within_retention(live_columns(enriched, columns), now, ttl_s)
     return latest_per_key(current, "flight_id", "timestamp", "updated_at")
 
 
@@ -30,5 +42,5 @@ def with_ripple(
     horizon_s: int = K.ROTATION_HORIZON_S,
 ) -> DataFrame:
     """Live flights with ripple scores, over ``index`` or the rotations of the flights themselves."""
-    legs = onward_legs(rotation_index(flights) if index is None else index, horizon_s)
+    legs = onward_legs(rotations(flights) if index is None else index, horizon_s)
     return add_ripple(flights, legs)

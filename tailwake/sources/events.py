@@ -20,7 +20,7 @@ MODELS = (
 AIRPORTS = (
     "CGK", "DPS", "SUB", "KNO", "UPG", "BPN", "SIN", "KUL", "PKY", "SRG", "BDO", "LHR",
 )
-WEATHER_CODES = (0, 1, 2, 3, 45, 51, 61, 63, 80, 95)
+WEATHER_CODES = ("00", "01", "02", "03", "45", "51", "61", "63", "80", "95")
 BLOCK_S = 21600
 
 EVENTS_SCHEMA = (
@@ -43,8 +43,10 @@ def read_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _pick(values, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(codes, index: Column) -> Column:
+    """The code at an index, cut from one literal of all the (equally long) codes."""
+    width = len(codes[0])
+    return F.substring(F.lit("".join(codes)), index.cast("int") * width + 1, F.lit(width))
 
 
 def _every(n: int) -> Column:
@@ -83,7 +85,7 @@ def _weather() -> dict[str, Column]:
         "precipitation_mm": F.when(~no_rain_gauge, k * 6 / F.lit(10.0)).cast("float"),
         "wind_knots": (event_id * 13 % 700 / F.lit(10.0)).cast("float"),
         "visibility_m": (event_id * 29 % 16000).cast("float"),
-        "weather_code": _pick(WEATHER_CODES, k % 10),
+        "weather_code": _pick(WEATHER_CODES, k % 10).cast("int"),
     }
 
 

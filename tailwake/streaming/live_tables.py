@@ -3,7 +3,9 @@
 A keyed table is a snapshot in two slots: batch ``n`` reads slot ``(n - 1) % 2`` and replaces slot
 ``n % 2``, so a batch that is replayed after a failure starts from the same rows and writes the
 same result, and the previous snapshot stays readable meanwhile. A snapshot holds only what is
-within its retention, not history; the merge is one grouped maximum of old and new rows.
+within its retention, not history; the merge is one grouped maximum of old and new rows. Each
+snapshot also has one marker row, all null but for its batch, so that an empty one is seen to be
+newer than the one before.
 """
 
 from __future__ import annotations
@@ -29,6 +31,12 @@ def _slot(path: str, batch_id: int) -> str:
     return f"{path}/slot-{batch_id % 2}"
 
 
+def _with_marker(rows: DataFrame, batch_id: int) -> DataFrame:
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema]
+    marked = rows.unionByName(rows.sparkSession.range(0, 1, 1, 1).select(*empty))
+    return marked.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest complete snapshot of a keyed table, ``None`` before the first batch."""
     slots = [table_or_none(spark, _slot(path, n)) for n in (0, 1)]
@@ -37,7 +45,7 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
         return None
     rows = present[0] if len(present) == 1 else present[0].unionByName(present[1])
     newest = rows.agg(F.max(BATCH)).scalar()
-    return rows.filter(F.col(BATCH) == newest).drop(BATCH)
+    return rows.filter((F.col(BATCH) == newest) & F.col(SEEN).isNotNull()).drop(BATCH)
 
 
 @dataclass(frozen=True)
@@ -53,13 +61,11 @@ class KeyedTable:
         fresh = rows.withColumn(SEEN, clock)
         previous = table_or_none(rows.sparkSession, _slot(self.path, batch_id + 1))
         if previous is not None:
-            fresh = fresh.unionByName(previous.drop(BATCH))
+            fresh = fresh.unionByName(previous.drop(BATCH).filter(F.col(SEEN).isNotNull()))
         if self.ttl_s is not None:
             fresh = fresh.filter(F.col(SEEN) > clock - self.ttl_s)
         merged = latest_per_key(fresh, self.key, *self.order, SEEN)
-        merged.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-            _slot(self.path, batch_id)
-        )
+        _with_marker(merged, batch_id).write.mode("overwrite").parquet(_slot(self.path, batch_id))
 
 
 def processing_clock() -> Column:

@@ -9,6 +9,9 @@ id that holds a large share of all rows is still spread over its slices.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,14 +34,16 @@ def track_heading(reports: DataFrame, slice_s: int = 21600) -> DataFrame:
         "ingested_at", F.col("latitude").alias("lat"), F.col("longitude").alias("lon")
     )
     in_slice = Window.partitionBy(*GROUP).orderBy("timestamp")
-    # The keys are filtered for nulls here, and joined from the left below, so that the two uses
-    # of the moves have the same plan and share their shuffles.
+    # Nulls are filtered here column by column, and the edges joined from the left below: no join
+    # adds a null filter of its own then, and both uses of the moves share one scan and shuffle.
+    needed = ("flight_id", "timestamp", "latitude", "longitude")
     moves = (
-        reports.dropna(subset=["flight_id", "timestamp", "latitude", "longitude"])
+        reports.filter(reduce(and_, [F.col(c).isNotNull() for c in needed]))
         .groupBy("flight_id", "timestamp")
         .agg(F.max(fix).alias("at"))
         .withColumn("slice", timing.slice_of(F.col("timestamp"), slice_s))
-        .withColumn("move", bearing(F.lag("at").over(in_slice), F.col("at")))
+        .withColumn("before", F.lag("at").over(in_slice))
+        .withColumn("move", bearing(F.col("before"), F.col("at")))
     )
     edges = (
         moves.groupBy(*GROUP)
@@ -52,8 +57,8 @@ def track_heading(reports: DataFrame, slice_s: int = 21600) -> DataFrame:
     )
     by_slice = Window.partitionBy("flight_id").orderBy("slice")
     earlier = by_slice.rowsBetween(Window.unboundedPreceding, -1)
-    entering = edges.withColumn(
-        "entry_move", bearing(F.lag("last").over(by_slice), F.col("first"))
+    entering = edges.withColumn("before", F.lag("last").over(by_slice)).withColumn(
+        "entry_move", bearing(F.col("before"), F.col("first"))
     ).select(
         *GROUP,
         F.coalesce(

@@ -4,26 +4,30 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tailwake-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     A local folder is made only where the setting is missing on a local master; on a cluster a
     machine-local folder would not be seen by the executors, so that is an error.
     """
-    root = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
+    root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="tailwake-")
-    spark.conf.set(SETTING, root)
-    return root
+    return _local_root()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tailwake.llm import secrets, urls
+from tailwake.llm import packing, secrets, simhash, toxicity, urls
 from tailwake.llm.common import documents, ship
 
 
@@ -14,11 +15,24 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(documents(spark, sf_dir)))
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(documents(spark, sf_dir)))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.digest(packing.pack_documents(documents(spark, sf_dir), tokenizer))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(documents(spark, sf_dir, "pages"), urls.rules_table(spark))
 
 
-_QUERIES = (op1_secret_scans, op5_url_filters)
+_QUERIES = (op1_secret_scans, op2_simhash_near_dedup, op3_toxicity, op4_packing, op5_url_filters)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tailwake.llm import packing, secrets, simhash, toxicity, urls
+from tailwake.llm import packing, quality, secrets, simhash, topk, toxicity, urls
 from tailwake.llm.common import documents, ship
 
 
@@ -32,7 +32,24 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(documents(spark, sf_dir, "pages"), urls.rules_table(spark))
 
 
-_QUERIES = (op1_secret_scans, op2_simhash_near_dedup, op3_toxicity, op4_packing, op5_url_filters)
+def op9_exact_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = documents(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(quality.judge_documents(documents(spark, sf_dir)))
+
+
+_QUERIES = (
+    op1_secret_scans,
+    op2_simhash_near_dedup,
+    op3_toxicity,
+    op4_packing,
+    op5_url_filters,
+    op9_exact_top_k_search,
+    op10_quality_rules,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -67,5 +84,94 @@ FROM fitting GROUP BY page_id, host, path
 """
 
 
+OP9_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS weights
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_dot_product(q.weights, c.weights) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT query_id, vec_id, score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+  FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
+"""
+
+OP10_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(source, '') AS host,
+         coalesce(text, '') AS text,
+         md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || CASE WHEN text IS NULL THEN '-' ELSE '+' END
+             || coalesce(text, '')) AS key,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), starts AS (
+  SELECT row_id, unnest(range(1, len(w) - 1)) AS i,
+         unnest(list_transform(range(1, len(w) - 1),
+                               lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS gram
+  FROM docs WHERE len(w) > 2
+), repeated AS (
+  SELECT row_id, i
+  FROM (SELECT row_id, i, count(*) OVER (PARTITION BY row_id, gram) AS n FROM starts)
+  WHERE n > 1
+), repeat_words AS (
+  SELECT row_id, count(DISTINCT i + d) AS n_repeat_words
+  FROM repeated, (VALUES (0), (1), (2)) AS shifts(d) GROUP BY row_id
+), all_lines AS (
+  SELECT row_id, key, host, len(w) AS n_words, unnest(string_split(text, chr(10))) AS line FROM docs
+), lines AS (
+  SELECT *, trim(regexp_replace(
+    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS normal
+  FROM all_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), dup_lines AS (
+  SELECT row_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY row_id
+), doc_lines AS (
+  SELECT key, host, any_value(n_words) AS n_words, left(md5(normal), 16) AS hash,
+         sum(len(string_split(normal, ' '))) / count(DISTINCT row_id) AS words
+  FROM lines GROUP BY key, host, normal
+), shared AS (
+  SELECT *, count(*) OVER (PARTITION BY host, hash) AS documents FROM doc_lines
+  QUALIFY documents > 10
+), family AS (
+  SELECT key, host, list_sort(list(hash)) AS hashes FROM shared
+  GROUP BY key, host HAVING sum(words) >= 0.5 * any_value(n_words)
+), named AS (
+  SELECT s.host, s.hash,
+    CASE WHEN f.key IS NULL THEN s.key WHEN s.hash <> f.hashes[1] THEN f.hashes[1]
+         ELSE coalesce(f.hashes[2], '') END AS name
+  FROM shared s LEFT JOIN family f ON s.key = f.key AND s.host = f.host
+), frequent AS (
+  SELECT host, hash FROM named GROUP BY host, hash HAVING count(DISTINCT name) > 10
+), removed AS (
+  SELECT key, host, sum(words) AS removed_words FROM shared JOIN frequent USING (host, hash)
+  GROUP BY key, host
+), counted AS (
+  SELECT d.row_id, doc_id, len(w) AS n_words,
+    length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    CAST(coalesce(removed_words, 0) AS BIGINT) AS removed_words
+  FROM docs d LEFT JOIN dup_lines USING (row_id) LEFT JOIN repeat_words USING (row_id)
+    LEFT JOIN removed r ON d.key = r.key AND d.host = r.host
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+    AND NOT (n_words - removed_words < 0.2 * n_words) AS kept,
+  removed_words
+FROM counted
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filters": OP5_SQL}
+    return {
+        "op5_url_filters": OP5_SQL,
+        "op9_exact_top_k_search": OP9_SQL,
+        "op10_quality_rules": OP10_SQL,
+    }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tailwake.llm import packing, quality, secrets, simhash, topk, toxicity, urls
+from tailwake.llm import lm, packing, quality, secrets, simhash, topk, toxicity, urls
 from tailwake.llm.common import documents, ship
 
 
@@ -32,6 +32,10 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(documents(spark, sf_dir, "pages"), urls.rules_table(spark))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf_dir))
+
+
 def op9_exact_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = documents(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
@@ -47,6 +51,7 @@ _QUERIES = (
     op3_toxicity,
     op4_packing,
     op5_url_filters,
+    op8_lm_scoring,
     op9_exact_top_k_search,
     op10_quality_rules,
 )

@@ -19,8 +19,9 @@ from __future__ import annotations
 import heapq
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,9 @@ from pyspark.sql import functions as F
 WINDOW = 4096
 END_ID = 2
 #: Rests that are packed together.
-BATCH = 1024
-#: Documents tokenised together, and words whose ids a worker remembers.
-CHUNK = 128
-REMEMBERED = 500_000
+BATCH = 512
+#: Words whose ids a worker remembers.
+REMEMBERED = 1_000_000
 
 SCHEMA = pa.schema(
     [
@@ -50,72 +50,71 @@ SCHEMA = pa.schema(
 
 # -- tokens --------------------------------------------------------------------------------------
 
-# How the tokenizer cuts ASCII text in lower case.
-_ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# How the tokenizer cuts ASCII and Latin-1 letters in lower case.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: Words that need no other normalisation than lower case.
+_SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]*")
+_LETTERS = "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß"
+
+
+class _Known(dict):
+    """Words and their ids; a word that is missing is made by ``make`` and kept."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self[word] = self.make(word)
+        return found
 
 
 class WordEncoder:
-    """Ids of texts, for a tokenizer that lowers case, drops white space and never joins across it.
+    """Ids of texts, for a byte-level BPE that lowers case, drops white space and never joins across
+    it.
 
     A text's ids are then those of its words in a row, so each distinct word is tokenised once and
-    remembered. Many words are tokenised in one call, parted by a special token.
+    remembered; so are the parts of words. What was used lately outlives the bound of the memory.
+    Words of ASCII and Latin-1 letters are cut here and their parts given to the tokenizer's model;
+    all others go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = [
-            (i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special
-        ]
-        self.mark_id, self.mark = min(special)
-        self.words: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        in_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = str.maketrans({c: in_bytes.pre_tokenize_str(c)[0][0] for c in _LETTERS})
+        self.words = _Known(self._word)
+        self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def _many(self, texts: list[str]) -> list[bytes]:
-        if not texts:
-            return []
-        joined = f" {self.mark} ".join(texts)
-        found = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids
-        ids = np.array(found, "<u4")
-        cuts = np.flatnonzero(ids == self.mark_id)
-        raw, ends = ids.tobytes(), [*cuts.tolist(), len(ids)]
-        starts = [0, *(cuts + 1).tolist()]
-        return [raw[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)]
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-            words_now = words
-        else:
-            words_now = words - self.words.keys()
-        if len(self.parts) > REMEMBERED:
-            self.parts.clear()
-        plain, other, alone = {}, [], []
-        for word in words_now:
-            if b"<|" in word:
-                alone.append(word)
-            elif word.isascii():
-                plain[word] = _ASCII_PARTS.findall(word.decode().lower())
-            else:
-                other.append(word)
-        new = list({p for parts in plain.values() for p in parts if p not in self.parts})
-        self.parts.update(zip(new, self._many(new), strict=True))
-        for word, parts in plain.items():
-            self.words[word] = b"".join([self.parts[p] for p in parts])
-        self.words.update(zip(other, self._many([w.decode() for w in other]), strict=True))
-        for word in alone:
-            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            self.words[word] = np.array(ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+    def _part(self, part: str) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            if len(self.parts) > REMEMBERED:
+                self.parts.clear()
+            text = part if part.isascii() else part.translate(self.letters)
+            ids = [t.id for t in self.model.tokenize(text)]
+            found = self.parts[part] = pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def _word(self, word: bytes) -> bytes:
+        if word in self.older:
+            return self.older[word]
+        text = word.decode()
+        if _SIMPLE.fullmatch(text) and "<|" not in text:
+            return b"".join(map(self._part, _PARTS.findall(text.lower())))
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        for at in range(0, len(texts), CHUNK):
-            cut = [(t or "").encode().split() for t in texts[at : at + CHUNK]]
-            self._learn(set().union(*cut))
-            for words in cut:
-                yield b"".join(map(self.words.__getitem__, words))
+        for text in texts:
+            if len(self.words) > REMEMBERED // 2:
+                self.older, self.words = self.words, _Known(self._word)
+            yield b"".join(map(self.words.__getitem__, (text or "").encode().split()))
 
 
 @cache
@@ -207,10 +206,10 @@ def pack_documents(
 
         def rows() -> Iterator[tuple[int | None, bytes]]:
             for part in parts:
-                for at in range(0, part.num_rows, CHUNK):
-                    ids, texts = (c.slice(at, CHUNK).to_pylist() for c in part.columns)
-                    for doc_id, found in zip(ids, known.encode(texts), strict=True):
-                        yield doc_id, found + end
+                texts = (t.as_py() for t in part.column("text"))
+                ids = part.column("doc_id").to_pylist()
+                for doc_id, found in zip(ids, known.encode(texts), strict=True):
+                    yield doc_id, found + end
 
         task = TaskContext.get()
         for pieces in pack_rows(rows(), (task.partitionId() if task else 0) << 40, window):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tailwake.llm import lm, packing, pieces, quality, secrets, simhash, topk, toxicity, urls
+from tailwake.llm import chat, lm, packing, pieces, quality, secrets, simhash, topk, toxicity, urls
 from tailwake.llm.common import documents, ship
 
 
@@ -32,6 +32,11 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(documents(spark, sf_dir, "pages"), urls.rules_table(spark))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = chat.conversation_calls(documents(spark, sf_dir, "conversations"))
+    return chat.link_calls(calls, results, chat.REPLY)
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.digest(pieces.encode_documents(documents(spark, sf_dir), model))
@@ -56,6 +61,7 @@ _QUERIES = (
     op3_toxicity,
     op4_packing,
     op5_url_filters,
+    op6_chat_formatting,
     op7_sentencepiece,
     op8_lm_scoring,
     op9_exact_top_k_search,

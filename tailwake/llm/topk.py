@@ -33,7 +33,7 @@ SCALE = 64
 QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 8192
 #: Queries whose score arrays are held at a time.
-LANES = 64
+LANES = 16
 
 
 def blocks(rows: DataFrame, size: int) -> DataFrame:
@@ -91,31 +91,40 @@ def best(
     """(query id, candidate id, score) of each query's k best in one block; ``ids`` ascend."""
     terms = min(queries.shape[1], candidates.shape[1])
     queries, candidates = queries[:, :terms], candidates[:, :terms]
-    bound = float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * terms
-    kind = np.int32 if bound < 2**31 else np.int64
+    # No sum of products, whole or in part, exceeds the product of the lengths.
+    lengths = [np.sqrt((m.astype(np.float64) ** 2).sum(axis=1)).max(initial=0) for m in (queries, candidates)]
+    bound = 1.01 * lengths[0] * lengths[1] + 1
+    kind = next((t for t in (np.int16, np.int32) if bound < np.iinfo(t).max), np.int64)
     postings = []
     for t in range(terms):
         rows = np.flatnonzero(candidates[:, t])
-        everywhere = len(rows) == len(ids)
-        postings.append((slice(None) if everywhere else rows, candidates[rows, t].astype(kind)))
+        if 2 * len(rows) > len(ids):  # most rows have the term: no list of them is needed
+            rows = slice(None)
+        postings.append((rows, candidates[rows, t].astype(kind)))
     out = []
     for at in range(0, len(queries), LANES):
-        lane = queries[at : at + LANES]
+        lane = queries[at : at + LANES].astype(kind)
         scores = np.zeros((len(lane), len(ids)), kind)
+        spare = np.empty_like(scores)
         for t, (rows, weights) in enumerate(postings):
-            for q in np.flatnonzero(lane[:, t]):
-                scores[q, rows] += kind(lane[q, t]) * weights
+            asking = np.flatnonzero(lane[:, t])
+            if isinstance(rows, slice) and 2 * len(asking) > len(lane):
+                np.multiply(lane[:, t, None], weights, out=spare)
+                scores += spare
+            else:
+                for q in asking:
+                    scores[q, rows] += lane[q, t] * weights
         for q, row in enumerate(scores):
-            open_ = np.flatnonzero(ids != query_ids[at + q])
-            row = row[open_]
-            take = min(k, len(row))
+            own = slice(*np.searchsorted(ids, [query_ids[at + q], query_ids[at + q] + 1]))
+            row[own] = np.iinfo(kind).min
+            take = min(k, len(row) - (own.stop - own.start))
             if not take:
                 continue
             limit = np.partition(row, len(row) - take)[len(row) - take]
             above = np.flatnonzero(row > limit)
             level = np.flatnonzero(row == limit)[: take - len(above)]
             chosen = np.concatenate([above, level])
-            out.append((np.full(take, query_ids[at + q]), ids[open_[chosen]], row[chosen].astype(np.int64)))
+            out.append((np.full(take, query_ids[at + q]), ids[chosen], row[chosen].astype(np.int64)))
     if not out:
         return (np.empty(0, np.int64),) * 3
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))

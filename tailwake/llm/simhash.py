@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tailwake.llm.common import column, words_of
+from tailwake.llm.common import words_of
 from tailwake.sources.workspace import materialize
 
 SHINGLE = 4
@@ -69,18 +69,27 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(votes * 2 > count).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, doc_id="doc_id", text="text") -> DataFrame:
-    """doc_id and ``bits``, the fingerprint as a signed 64-bit number; one row per row of ``docs``."""
-    schema = pa.schema([("doc_id", pa.int64()), ("bits", pa.int64())])
+def fingerprints(
+    docs: DataFrame, shingle: int = SHINGLE, doc_id="doc_id", text="text", key: Column | None = None
+) -> DataFrame:
+    """doc_id, ``key`` (any text that names the row) and ``bits``, the fingerprint as a signed 64-bit
+    number; one row per row of ``docs``."""
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.string()), ("bits", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             found = [fingerprint(t.as_py(), shingle) for t in part.column("text")]
-            bits = np.array(found, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(bits)], schema=schema)
-
-    chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return chosen.mapInArrow(run, "doc_id long, bits long")
+            bits = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("key"), bits], schema=schema
+            )
+
+    chosen = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"),
+        (F.lit(None).cast("string") if key is None else key).alias("key"),
+        F.col(text).alias("text"),
+    )
+    return chosen.mapInArrow(run, "doc_id long, key string, bits long")
 
 
 # -- the index -----------------------------------------------------------------------------------
@@ -273,19 +282,21 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, doc_id="doc_id", text="text"
+    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, doc_id="doc_id", text="text",
+    key: Column | None = None,
 ) -> DataFrame:
-    """doc_id, ``bits`` and ``component_id``, the smallest doc_id linked to it in any number of steps;
-    one row per row of ``docs``."""
-    found = materialize(fingerprints(docs, shingle, doc_id, text), "fingerprints")
+    """doc_id, ``key``, ``bits``, ``root`` (a fingerprint that names the component) and
+    ``component_id``, the smallest doc_id linked to it in any number of steps; one row per row of
+    ``docs``."""
+    found = materialize(fingerprints(docs, shingle, doc_id, text, key), "fingerprints")
     smallest = found.groupBy("bits").agg(F.min("doc_id").alias("doc_id"))
     roots = components(links(smallest.select("bits"), max_bits))
     rooted = smallest.join(roots, smallest.bits == roots.node, "left").select(
         "bits", F.coalesce("root", "bits").alias("root"), "doc_id"
     )
     lowest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = rooted.join(lowest, "root").select("bits", "component_id")
-    return found.join(named, "bits").select("doc_id", "bits", "component_id")
+    named = rooted.join(lowest, "root").select("bits", "root", "component_id")
+    return found.join(named, "bits").select("doc_id", "key", "bits", "root", "component_id")
 
 
 def digest(duplicates: DataFrame) -> DataFrame:

@@ -548,6 +548,22 @@ def statements() -> dict[str, str]:
         "enriched",
         gold_airline("WHERE report_date >= DATE '2024-01-10' AND report_date < DATE '2024-01-15'"),
     )
+    out["gold_refresh_range"] = upto(
+        "enriched",
+        gold_airline(
+            "WHERE report_date <> DATE '2024-01-11' "
+            "AND NOT (report_date = DATE '2024-01-12' AND airline_icao = 'GIA')"
+        ),
+    )
+    out["gold_by_name"] = upto("enriched", GOLD["hourly_delay_trends"])
+    odd = """CASE timestamp % 4 WHEN 1 THEN timestamp * 1000 WHEN 2 THEN timestamp * 1000000
+        WHEN 3 THEN -timestamp ELSE timestamp END"""
+    out["bronze_odd_times"] = upto(
+        "reports",
+        f"""SELECT flight_id, ingested_at, {odd} AS timestamp,
+            CASE WHEN timestamp % 4 = 0 THEN DATE '1970-01-01' + CAST(timestamp // 86400 AS INTEGER)
+            END AS ingestion_date FROM reports""",
+    )
     out["gold_json_decoded"] = upto("enriched", GOLD["route_daily_statistics"])
     out["gold_summary"] = upto(
         "enriched",
@@ -603,6 +619,15 @@ def statements() -> dict[str, str]:
     out["ripple_effect"] = upto("ripple", f"SELECT {', '.join(RIPPLE_COLUMNS)} FROM ripple")
     out["flight_impact"] = upto("ripple", f"SELECT {', '.join(IMPACT_COLUMNS)} FROM ripple")
 
+    ripple_columns, one = ", ".join(RIPPLE_COLUMNS), "flight_id = 'F0-78929'"
+    out["ripple_active"] = upto(
+        "ripple", f"SELECT {ripple_columns} FROM ripple WHERE timestamp > {NEWEST} - {K.LIVE_TTL_S}"
+    )
+    out["ripple_effect_one"] = upto("ripple", f"SELECT {ripple_columns} FROM ripple WHERE {one}")
+    out["flight_impact_one"] = upto(
+        "ripple", f"SELECT {', '.join(IMPACT_COLUMNS)} FROM ripple WHERE {one}"
+    )
+
     # aggregates
     out["batch_stats"] = upto("enriched", BATCH_STATS)
     out["aggregate_impact"] = upto("ripple", IMPACT)
@@ -725,4 +750,17 @@ def statements() -> dict[str, str]:
             "streamed": _latest("sent_rows"),
         },
     )
+    out["stream_alerts"] = upto(
+        "ruled",
+        "SELECT flight_id, timestamp, predicted_delay_minutes FROM streamed",
+        {
+            "sent_rows": f"SELECT {_LIVE_SELECT} FROM ruled WHERE {SENT}",
+            "streamed": _latest(f"(SELECT * FROM sent_rows WHERE {CRITICAL} AND flight_id <> '')"),
+        },
+    )
+    out["stream_rotations"] = upto(
+        "ruled",
+        f"""SELECT registration, flight_id, max(timestamp) AS timestamp FROM ruled
+        WHERE registration <> '' AND timestamp <> 0 AND {SENT} GROUP BY registration, flight_id""",
+    )
     return out

@@ -11,6 +11,8 @@ from tailwake import constants as K
 from tailwake.functions.bands import flag, within
 
 DAY_S = 86400
+#: 2100-01-01, the first time that no report can have.
+PLAUSIBLE_END_S = 4102444800
 
 
 def slice_of(ts: Column, width_s: int) -> Column:
@@ -28,7 +30,13 @@ def day_of_week(ts: Column) -> Column:
 
 
 def utc_date(ts: Column) -> Column:
-    return F.date_add(F.lit(date(1970, 1, 1)), slice_of(ts, DAY_S).cast("int"))
+    """UTC date of epoch seconds; null outside 1970 to 2099.
+
+    A time in milli- or microseconds, or a negative one, has no date: it would make partitions
+    without end, or overflow the day number and stop a stream for good.
+    """
+    plausible = F.when((ts >= 0) & (ts < PLAUSIBLE_END_S), ts)
+    return F.date_add(F.lit(date(1970, 1, 1)), slice_of(plausible, DAY_S).cast("int"))
 
 
 def epoch_of_day(day: date) -> int:

@@ -85,11 +85,11 @@ def kpi_header(impact: DataFrame, stats: DataFrame) -> DataFrame:
     return both.agg(*[figure(name) for name in pairs])
 
 
-def label_summary(rows: DataFrame, label: str = "delay_minutes", accuracy: int = 100_000):
+def label_summary(rows: DataFrame, label: str = "delay_minutes"):
     """Mean, sample deviation, range and median of the label, to two decimals.
 
-    The median comes from Spark's bounded quantile sketch; it is exact up to ``accuracy`` / 2
-    rows and off by at most rows / ``accuracy`` ranks beyond.
+    The median is exact, the lower one of an even number of rows. It is found from counts per
+    value; labels have one decimal, so there are a few thousand values at most.
     """
     value = F.col(label)
     return rows.agg(
@@ -100,7 +100,7 @@ def label_summary(rows: DataFrame, label: str = "delay_minutes", accuracy: int =
                 "stddev": F.stddev(value),
                 "min": F.min(value),
                 "max": F.max(value),
-                "median": F.percentile_approx(value, 0.5, accuracy),
+                "median": F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{label}`)"),
             }.items()
         ]
     )
@@ -124,7 +124,9 @@ def error_distribution(
     prediction: str = "prediction",
     accuracy: int = 100_000,
 ) -> DataFrame:
-    """Mean, median and 90th percentile of the absolute error (see ``label_summary``)."""
+    """Mean, median and 90th percentile of the absolute error. Errors are arbitrary numbers, so the
+    quantiles come from Spark's bounded sketch: exact up to ``accuracy`` / 2 rows, and off by at
+    most rows / ``accuracy`` ranks beyond."""
     error = F.abs(_error(label, prediction))
     return rows.agg(
         F.round(F.mean(error), 2).alias("mean_abs_error"),
@@ -136,26 +138,31 @@ def error_distribution(
 def regression_metrics(
     rows: DataFrame, label: str = "delay_minutes", prediction: str = "prediction"
 ) -> DataFrame:
-    """RMSE, MAE and R2 in one pass."""
+    """RMSE, MAE and R2 in one pass; R2 is null where all labels are equal."""
     error = _error(label, prediction)
     squares = F.sum(error * error)
     spread = F.var_pop(F.col(label).cast("double")) * F.count(F.lit(1))
     return rows.agg(
         F.round(F.sqrt(F.avg(error * error)), 4).alias("rmse"),
         F.round(F.avg(F.abs(error)), 4).alias("mae"),
-        F.round(1 - squares / spread, 4).alias("r2"),
+        F.round(1 - F.try_divide(squares, spread), 4).alias("r2"),
     )
 
 
 def prediction_sample(
-    rows: DataFrame, n: int = 15, label: str = "delay_minutes", prediction: str = "prediction"
+    rows: DataFrame,
+    n: int = 15,
+    label: str = "delay_minutes",
+    prediction: str = "prediction",
+    key: tuple[str, ...] = ("flight_id", "ingested_at"),
 ) -> DataFrame:
-    """``n`` rows of actual beside predicted minutes."""
+    """``n`` rows of actual beside predicted minutes, the first by ``key``."""
     return rows.select(
+        *key,
         "aircraft_model",
         "airline_icao",
         F.round(label, 1).alias("actual_min"),
         F.round(prediction, 1).alias("predicted_min"),
         F.round(F.abs(_error(label, prediction)), 1).alias("error_min"),
         flight.delay_category(F.col(prediction)).alias("pred_category"),
-    ).limit(n)
+    ).orderBy(*key).limit(n)

@@ -24,7 +24,6 @@ from tailwake.streaming import jobs
 from tailwake.streaming.live_tables import LiveTables
 
 ROW = ("flight_id", "ingested_at")
-SAMPLE_TREES = 20
 
 
 class Inputs:
@@ -145,6 +144,38 @@ def gold_summary(i: Inputs) -> DataFrame:
     return gold.gold_summary(i.spark, base)
 
 
+def gold_refresh_range(i: Inputs) -> DataFrame:
+    """A full refresh, then one of 10 to 13 January after the reports of the 11th and those of an
+    airline on the 12th are gone."""
+    base, name = new_folder(i.spark, "gold-range"), "airline_daily_performance"
+    gold.refresh(i.given, base, names=[name])
+    day = F.floor(F.col("timestamp") / 86400)
+    gone = (day == 19733) | ((day == 19734) & F.col("airline_icao").eqNullSafe("GIA"))
+    gold.refresh(i.given.filter(~gone), base, date(2024, 1, 10), date(2024, 1, 14), [name])
+    table = gold.gold_table(i.spark, base, name)
+    return table.select(*gold.build(i.given, name).columns)
+
+
+def gold_by_name(i: Inputs) -> DataFrame:
+    """One stored gold table, read back by its name."""
+    base, name = new_folder(i.spark, "gold-name"), "hourly_delay_trends"
+    gold.refresh(i.given, base, names=[name])
+    return gold.gold_table(i.spark, base, name).select(*gold.build(i.given, name).columns)
+
+
+def bronze_odd_times(i: Inputs) -> DataFrame:
+    """Bronze rows whose times are in seconds, milli- or microseconds, or negative."""
+    kind = F.pmod(F.col("timestamp"), F.lit(4))
+    odd = (
+        F.when(kind == 1, F.col("timestamp") * 1000)
+        .when(kind == 2, F.col("timestamp") * 1000000)
+        .when(kind == 3, -F.col("timestamp"))
+        .otherwise(F.col("timestamp"))
+    )
+    rows = silver.bronze(i.reports.withColumn("timestamp", odd))
+    return rows.select(*ROW, "timestamp", "ingestion_date")
+
+
 def gold_json(i: Inputs) -> DataFrame:
     name = "route_daily_statistics"
     return gold.gold_json(gold.build(i.given, name), name)
@@ -291,6 +322,21 @@ def flight_impact(i: Inputs) -> DataFrame:
     return serving.flight_impact(i.rippled_only(*shown))
 
 
+def ripple_active(i: Inputs) -> DataFrame:
+    """Flights heard from within five minutes, over the rotations of the last 24 hours."""
+    now = newest_timestamp(i.given)
+    index = rotation.rotation_index(i.given, now=now)
+    return serving.ripple_effect(live.with_ripple(live.live_state(i.given, now=now), index))
+
+
+def ripple_effect_one(i: Inputs) -> DataFrame:
+    return serving.ripple_effect(live.one_with_ripple(i.live, "F0-78929"))
+
+
+def flight_impact_one(i: Inputs) -> DataFrame:
+    return serving.flight_impact(live.one_with_ripple(i.live, "F0-78929"))
+
+
 # --- aggregates ---
 
 
@@ -427,6 +473,24 @@ def stream_fanout(i: Inputs) -> DataFrame:
     )
 
 
+def stream_alerts(i: Inputs) -> DataFrame:
+    """Flights whose latest report in the stream's alert table is critical, and how late."""
+    source, base, checkpoints = _stream(i, "stream-alerts")
+    tables = LiveTables(f"{base}/live", live_ttl_s=None, rotation_ttl_s=None, alert_ttl_s=None)
+    enriched = silver.enrich(envelopes.decode_reports(source))
+    jobs.drain(jobs.start_live(enriched, tables, checkpoints, jobs.ONCE))
+    return tables.alert_list(i.spark).select("flight_id", "timestamp", "predicted_delay_minutes")
+
+
+def stream_rotations(i: Inputs) -> DataFrame:
+    """The rotation index that the stream keeps."""
+    source, base, checkpoints = _stream(i, "stream-rotations")
+    tables = LiveTables(f"{base}/live", live_ttl_s=None, rotation_ttl_s=None, alert_ttl_s=None)
+    enriched = silver.enrich(envelopes.decode_reports(source))
+    jobs.drain(jobs.start_live(enriched, tables, checkpoints, jobs.ONCE))
+    return tables.rotation_list(i.spark).select("registration", "flight_id", "timestamp")
+
+
 def stream_live_state(i: Inputs) -> DataFrame:
     source, base, checkpoints = _stream(i, "stream-live")
     tables = LiveTables(f"{base}/live", live_ttl_s=None, rotation_ttl_s=None, alert_ttl_s=None)
@@ -440,7 +504,7 @@ def stream_live_state(i: Inputs) -> DataFrame:
 
 def _delay_model(i: Inputs):
     fit, held_out = training.split(i.labelled, *ROW)
-    return training.fit_delay(fit, SAMPLE_TREES), held_out
+    return training.fit_delay(training.laid_out(fit, *ROW)), held_out
 
 
 def ml_delay_predict(i: Inputs) -> DataFrame:
@@ -465,7 +529,7 @@ def spatial_clusters(i: Inputs) -> DataFrame:
 def stream_predict(i: Inputs) -> DataFrame:
     """Model inference on the stream: train on the log, score it as it streams in."""
     source, base, checkpoints = _stream(i, "stream-predict")
-    delay_model, cluster_model = training.train(i.labelled, SAMPLE_TREES)
+    delay_model, cluster_model = training.train(training.laid_out(i.labelled, *ROW))
     enriched = silver.enrich(
         envelopes.decode_reports(source), delay_model=delay_model, cluster_model=cluster_model
     )
@@ -509,6 +573,9 @@ QUERIES = {
     "rotation_self_join": rotation_self_join,
     **{f"gold_{name}": _gold(name) for name in gold.TABLES},
     "gold_date_range": gold_date_range,
+    "gold_refresh_range": gold_refresh_range,
+    "gold_by_name": gold_by_name,
+    "bronze_odd_times": bronze_odd_times,
     "live_state": live_state,
     "live_active": live_active,
     "rotation_index": rotation_index,
@@ -518,6 +585,9 @@ QUERIES = {
     "track_heading": track_heading,
     "ripple_effect": ripple_effect,
     "flight_impact": flight_impact,
+    "ripple_active": ripple_active,
+    "ripple_effect_one": ripple_effect_one,
+    "flight_impact_one": flight_impact_one,
     "batch_stats": batch_stats,
     "aggregate_impact": aggregate_impact,
     "airline_performance": airline_performance,
@@ -542,6 +612,8 @@ QUERIES = {
     "stream_silver": stream_silver,
     "stream_fanout": stream_fanout,
     "stream_live_state": stream_live_state,
+    "stream_alerts": stream_alerts,
+    "stream_rotations": stream_rotations,
     "stream_predict": stream_predict,
     "ml_delay_predict": ml_delay_predict,
     "prediction_sample": prediction_sample,

@@ -2,7 +2,8 @@
 
 Each is one scan of its own few silver columns and one shuffle of partial aggregates. ``since``
 and ``until`` (UTC dates, ``until`` exclusive) filter on the bare ``timestamp`` column, which
-reaches the parquet scan, so a refresh of a few days reads a few days.
+reaches the parquet scan, and on the ``event_date`` partition where silver has it, as stored silver
+does; a refresh of a few days then opens the files of those days only.
 """
 
 from __future__ import annotations
@@ -15,15 +16,19 @@ from pyspark.sql import functions as F
 
 from tailwake import constants as K
 from tailwake.functions import bands, flight, timing, weather
+from tailwake.plans.silver import EVENT_DATE
 from tailwake.sources import lake
 
 
 def _slice(silver: DataFrame, since: date | None, until: date | None) -> DataFrame:
     rows = silver
+    dated = EVENT_DATE in silver.columns
     if since is not None:
         rows = rows.filter(F.col("timestamp") >= timing.epoch_of_day(since))
+        rows = rows.filter(F.col(EVENT_DATE) >= F.lit(since)) if dated else rows
     if until is not None:
         rows = rows.filter(F.col("timestamp") < timing.epoch_of_day(until))
+        rows = rows.filter(F.col(EVENT_DATE) < F.lit(until)) if dated else rows
     return rows.withColumn("report_date", timing.utc_date(F.col("timestamp")))
 
 
@@ -147,15 +152,17 @@ def refresh(
 ) -> dict[str, int]:
     """Write gold tables below ``base``; returns the rows written by table.
 
-    Without a date range the tables are replaced whole; with one, only the days in it.
+    Without a date range the tables are replaced whole; with one, every day in it, also one that
+    has no rows any more.
     """
-    partial = since is not None or until is not None
-    return {
-        name: lake.replace_table(
-            build(silver, name, since, until), f"{base}/{name}", "report_date", partial, fmt
-        )
-        for name in names
-    }
+
+    def write(name: str) -> int:
+        rows, path = build(silver, name, since, until), f"{base}/{name}"
+        if since is None and until is None:
+            return lake.replace_table(rows, path, "report_date", fmt=fmt)
+        return lake.replace_days(rows, path, "report_date", since, until, fmt)
+
+    return {name: write(name) for name in names}
 
 
 def gold_table(

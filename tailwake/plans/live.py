@@ -36,6 +36,19 @@ def live_state(
     return latest_per_key(current, "flight_id", "timestamp", "updated_at")
 
 
+def one_with_ripple(
+    flights: DataFrame,
+    flight_id: str,
+    index: DataFrame | None = None,
+    horizon_s: int = K.ROTATION_HORIZON_S,
+) -> DataFrame:
+    """One live flight with its ripple score; rotations are computed for its aircraft only."""
+    chosen = flights.filter(F.col("flight_id") == flight_id)
+    index = rotations(flights) if index is None else index
+    own = index.join(chosen.select("registration").distinct(), "registration", "left_semi")
+    return add_ripple(chosen, onward_legs(own, horizon_s))
+
+
 def with_ripple(
     flights: DataFrame,
     index: DataFrame | None = None,

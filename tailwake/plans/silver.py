@@ -11,6 +11,9 @@ from tailwake.operators import reports as R
 from tailwake.plans.training import apply_models
 
 
+EVENT_DATE = "event_date"
+
+
 def bronze(parsed: DataFrame) -> DataFrame:
     """Parsed reports as they came, with the UTC date of the report as partition."""
     return parsed.select(
@@ -36,6 +39,12 @@ def silver(enriched: DataFrame) -> DataFrame:
     return enriched.select(*S.SILVER_COLUMNS, F.current_date().alias("processing_date"))
 
 
+def stored(silver_rows: DataFrame) -> DataFrame:
+    """Silver as it is stored: with the UTC date of the report, by which it is partitioned, so that
+    a refresh of a few days finds them. The date of processing stays a plain column."""
+    return silver_rows.withColumn(EVENT_DATE, timing.utc_date(F.col("timestamp")))
+
+
 def rebuild_silver(bronze_rows: DataFrame, **models) -> DataFrame:
     """Silver from bronze, for a replay after a change of rules or models."""
     return silver(enrich(bronze_rows, **models))

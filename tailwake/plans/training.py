@@ -24,6 +24,8 @@ NUMERIC = (
 LABEL = "delay_minutes"
 TREES, DEPTH, CLUSTERS, SEED = 100, 8, 8, 42
 NO_CLUSTER = -1
+#: Partitions of the training rows; models that are to be equal need the same number.
+PARTITIONS = 32
 
 
 def _scaled(inputs, name: str) -> list:
@@ -69,6 +71,12 @@ def split(rows: DataFrame, *key: str, train_percent: int = 80) -> tuple[DataFram
     return rows.filter(bucket < train_percent), rows.filter(bucket >= train_percent)
 
 
+def laid_out(rows: DataFrame, *key: str, partitions: int = PARTITIONS) -> DataFrame:
+    """Training rows in a fixed layout. Forests and k-means draw their samples by partition and
+    order, so a model only depends on the rows and the seed if those do."""
+    return rows.repartition(partitions, *key).sortWithinPartitions(*key)
+
+
 def fit_delay(
     rows: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED
 ) -> PipelineModel:

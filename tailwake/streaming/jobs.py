@@ -56,10 +56,9 @@ def start_bronze(
 def start_silver(
     enriched: DataFrame, path: str, checkpoints: str, trigger: Mapping = INTERVAL, fmt: str = "parquet"
 ) -> StreamingQuery:
-    """Enriched reports, partitioned by the date of processing."""
-    return _append(
-        layers.silver(enriched), "silver", checkpoints, trigger, fmt, path, ["processing_date"]
-    )
+    """Enriched reports, partitioned by the date of the report."""
+    rows = layers.stored(layers.silver(enriched))
+    return _append(rows, "silver", checkpoints, trigger, fmt, path, [layers.EVENT_DATE])
 
 
 def start_predictions(

@@ -1,15 +1,21 @@
 """Keyed tables kept up to date by micro-batches: live state, rotations, alerts, statistics.
 
-A keyed table is a snapshot in two slots: batch ``n`` reads slot ``(n - 1) % 2`` and replaces slot
-``n % 2``, so a batch that is replayed after a failure starts from the same rows and writes the
-same result, and the previous snapshot stays readable meanwhile. A snapshot holds only what is
-within its retention, not history; the merge is one grouped maximum of old and new rows. Each
-snapshot also has one marker row, all null but for its batch, so that an empty one is seen to be
-newer than the one before.
+Each batch writes its tables to a folder of its own, which never changes afterwards, and then
+publishes it by one small pointer file, written under another name and renamed. Readers take the
+newest pointer, so they see all tables of one batch or of the one before, never half of one. Pointers
+are numbered in the order of publication, not by batch, so a query that starts over with a fresh
+checkpoint goes on from the newest state. A batch that is replayed after it was published starts from
+the same state and clock as the first time and gives the same tables. Folders stay for
+``KEPT_BATCHES`` further batches, for slow readers, and are then removed.
+
+A snapshot holds only what is within its retention, not history; the merge is one grouped maximum of
+old and new rows. Statistics keep the newest ``STATS_BATCHES`` batches.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -22,56 +28,47 @@ from tailwake.operators.latest import latest_per_key
 from tailwake.operators.rotation import rotation_index
 from tailwake.operators.summaries import batch_stats
 from tailwake.plans.live import live_columns
-from tailwake.sources.lake import table_or_none
+from tailwake.sources import files
 
-BATCH, SEEN = "batch_id", "seen_at"
-
-
-def _slot(path: str, batch_id: int) -> str:
-    return f"{path}/slot-{batch_id % 2}"
-
-
-def _with_marker(rows: DataFrame, batch_id: int) -> DataFrame:
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema]
-    marked = rows.unionByName(rows.sparkSession.range(0, 1, 1, 1).select(*empty))
-    return marked.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-
-
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """The newest complete snapshot of a keyed table, ``None`` before the first batch."""
-    slots = [table_or_none(spark, _slot(path, n)) for n in (0, 1)]
-    present = [slot for slot in slots if slot is not None]
-    if not present:
-        return None
-    rows = present[0] if len(present) == 1 else present[0].unionByName(present[1])
-    newest = rows.agg(F.max(BATCH)).scalar()
-    return rows.filter((F.col(BATCH) == newest) & F.col(SEEN).isNotNull()).drop(BATCH)
+BATCH, SEEN, PLACE = "batch_id", "seen_at", "place"
+KEPT_BATCHES = 5
+STATS_BATCHES = 1000
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """``ttl_s`` counts from when a key was last written (``seen_at``); ``None`` keeps all."""
 
-    path: str
+    name: str
     key: str
     order: Sequence[str]
     ttl_s: int | None
 
-    def upsert(self, rows: DataFrame, batch_id: int, clock: Column) -> None:
+    def merged(self, rows: DataFrame, previous: DataFrame | None, clock: Column) -> DataFrame:
         fresh = rows.withColumn(SEEN, clock)
-        previous = table_or_none(rows.sparkSession, _slot(self.path, batch_id + 1))
         if previous is not None:
-            fresh = fresh.unionByName(previous.drop(BATCH).filter(F.col(SEEN).isNotNull()))
+            fresh = fresh.unionByName(previous)
         if self.ttl_s is not None:
             fresh = fresh.filter(F.col(SEEN) > clock - self.ttl_s)
-        merged = latest_per_key(fresh, self.key, *self.order, SEEN)
-        _with_marker(merged, batch_id).write.mode("overwrite").parquet(_slot(self.path, batch_id))
+        return latest_per_key(fresh, self.key, *self.order, SEEN)
 
 
 def processing_clock() -> Column:
     return F.unix_seconds(F.current_timestamp())
 
 
+@dataclass(frozen=True)
+class Published:
+    """What a pointer says: the folder of a batch, the one it started from, and its clock."""
+
+    place: int
+    query: str
+    batch: int
+    clock: int
+    folder: str
+    before: str | None
+
+
 class LiveTables:
     """The four live tables below one folder; ``update`` is the ``foreachBatch`` function."""
 
@@ -86,44 +83,97 @@ class LiveTables:
         self.base = base
         self.clock = clock
         by_time = ("timestamp", "updated_at")
-        self.live = KeyedTable(f"{base}/flights", "flight_id", by_time, live_ttl_s)
-        self.alerts = KeyedTable(f"{base}/alerts", "flight_id", by_time, alert_ttl_s)
-        self.rotations = KeyedTable(
-            f"{base}/rotations", "stop", ("timestamp",), rotation_ttl_s
-        )
+        self.live = KeyedTable("flights", "flight_id", by_time, live_ttl_s)
+        self.alerts = KeyedTable("alerts", "flight_id", by_time, alert_ttl_s)
+        self.rotations = KeyedTable("rotations", "stop", ("timestamp",), rotation_ttl_s)
+
+    # -- publication --
+
+    def published(self, spark: SparkSession) -> Published | None:
+        """The newest pointer, ``None`` before the first batch."""
+        names = files.names(spark, f"{self.base}/published")
+        if not names:
+            return None
+        return Published(**json.loads(files.read_text(spark, f"{self.base}/published/{max(names)}")))
+
+    def _publish(self, spark: SparkSession, pointer: Published) -> None:
+        name = f"{pointer.place:020d}"
+        files.write_text(spark, f"{self.base}/published/{name}", json.dumps(vars(pointer)))
+        for old in files.names(spark, f"{self.base}/published"):
+            if int(old) < pointer.place - KEPT_BATCHES:
+                gone = Published(**json.loads(files.read_text(spark, f"{self.base}/published/{old}")))
+                if gone.folder not in (pointer.folder, pointer.before):
+                    files.remove(spark, gone.folder)
+                files.remove(spark, f"{self.base}/published/{old}")
+
+    def _read(self, spark: SparkSession, folder: str | None, name: str) -> DataFrame | None:
+        return None if folder is None else spark.read.parquet(f"{folder}/{name}")
+
+    # -- writing --
 
     def update(self, enriched: DataFrame, batch_id: int) -> None:
+        spark = enriched.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        newest = self.published(spark)
+        if newest is not None and (newest.query, newest.batch) == (query, batch_id):
+            before, now = newest.before, newest.clock
+        else:
+            before = None if newest is None else newest.folder
+            now = spark.range(1).select(self.clock()).first()[0]
+        clock = F.lit(now).cast("bigint")
+        folder = f"{self.base}/batches/{uuid.uuid4().hex}"
         batch = live_columns(enriched).persist()
-        clock = self.clock()
+        rows = {
+            self.live: batch,
+            self.alerts: scan_alerts(batch),
+            self.rotations: rotation_index(batch).withColumn(
+                "stop", F.struct("registration", "flight_id")
+            ),
+        }
         try:
-            self.live.upsert(batch, batch_id, clock)
-            self.alerts.upsert(scan_alerts(batch), batch_id, clock)
-            self.rotations.upsert(
-                rotation_index(batch).withColumn("stop", F.struct("registration", "flight_id")),
-                batch_id,
-                clock,
+            for table, fresh in rows.items():
+                merged = table.merged(fresh, self._read(spark, before, table.name), clock)
+                merged.write.parquet(f"{folder}/{table.name}")
+            place = 0 if newest is None else newest.place + 1
+            stats = batch_stats(batch).select(
+                "*",
+                F.timestamp_seconds(clock).alias("updated_at"),
+                F.lit(batch_id).cast("bigint").alias(BATCH),
+                F.lit(place).cast("bigint").alias(PLACE),
             )
-            # One folder per batch: a replayed batch replaces its own row.
-            batch_stats(batch).withColumn("updated_at", F.current_timestamp()).write.mode(
-                "overwrite"
-            ).parquet(f"{self.base}/stats/{BATCH}={batch_id}")
+            past = self._read(spark, before, "stats")
+            if past is not None:
+                stats = stats.unionByName(past.filter(F.col(PLACE) > place - STATS_BATCHES))
+            stats.coalesce(1).write.parquet(f"{folder}/stats")  # at most STATS_BATCHES rows
         finally:
             batch.unpersist()
+        self._publish(spark, Published(place, query, batch_id, int(now), folder, before))
+
+    # -- reading --
+
+    def _snapshot(self, spark: SparkSession, name: str) -> DataFrame | None:
+        newest = self.published(spark)
+        return None if newest is None else self._read(spark, newest.folder, name)
 
     def flights(self, spark: SparkSession) -> DataFrame | None:
-        return read_snapshot(spark, self.live.path)
+        return self._snapshot(spark, self.live.name)
 
     def alert_list(self, spark: SparkSession) -> DataFrame | None:
-        return read_snapshot(spark, self.alerts.path)
+        return self._snapshot(spark, self.alerts.name)
 
     def rotation_list(self, spark: SparkSession) -> DataFrame | None:
-        rows = read_snapshot(spark, self.rotations.path)
+        rows = self._snapshot(spark, self.rotations.name)
         return None if rows is None else rows.drop("stop")
 
+    def stats_history(self, spark: SparkSession) -> DataFrame | None:
+        """Statistics of the newest batches, a row each."""
+        rows = self._snapshot(spark, "stats")
+        return None if rows is None else rows.drop(PLACE)
+
     def latest_stats(self, spark: SparkSession) -> DataFrame | None:
         """Statistics of the newest batch."""
-        stats = table_or_none(spark, f"{self.base}/stats")
-        if stats is None:
+        newest = self.published(spark)
+        if newest is None:
             return None
-        newest = stats.agg(F.max(BATCH)).scalar()
-        return stats.filter(F.col(BATCH) == newest)
+        rows = self._read(spark, newest.folder, "stats")
+        return rows.filter(F.col(PLACE) == F.lit(newest.place)).drop(PLACE)

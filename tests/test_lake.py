@@ -1,11 +1,13 @@
 """Gold tables on disk, JSON lines, workspace."""
 
 import json
+import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
-from tailwake.plans import gold
+from tailwake.plans import gold, silver
 from tailwake.sources import lake, workspace
 
 
@@ -46,6 +48,32 @@ def test_partial_refresh_replaces_only_its_days(spark, given, tmp_path):
     assert not after - before
 
 
+def test_a_day_that_became_empty_goes(spark, given, tmp_path):
+    base, name = str(tmp_path), "route_daily_statistics"
+    gold.refresh(given, base, names=[name])
+    before = {tuple(r) for r in gold.gold_table(spark, base, name).collect()}
+    at = gold.gold_table(spark, base, name).columns.index("report_date")
+    gone = given.filter(F.floor(F.col("timestamp") / 86400) != 19733)
+    gold.refresh(gone, base, date(2024, 1, 10), date(2024, 1, 13), [name])
+    after = {tuple(r) for r in gold.gold_table(spark, base, name).collect()}
+    assert {r[at] for r in before - after} == {date(2024, 1, 11)} and not after - before
+    gold.refresh(given.limit(0), base, None, date(2024, 1, 5), [name])
+    left = {tuple(r) for r in gold.gold_table(spark, base, name).collect()}
+    assert left == {r for r in after if r[at] >= date(2024, 1, 5)}
+
+
+def test_a_range_reads_only_its_days(spark, given, tmp_path):
+    rows = silver.stored(silver.silver(given))
+    rows.write.partitionBy(silver.EVENT_DATE).parquet(str(tmp_path / "silver"))
+    stored = spark.read.parquet(str(tmp_path / "silver"))
+    table = gold.build(stored, "airline_daily_performance", date(2024, 1, 10), date(2024, 1, 12))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[(.*?)\]", plan)[1]
+    assert "event_date" in filters and "2024-01-10" in filters and "2024-01-12" in filters
+    whole = gold.build(given, "airline_daily_performance", date(2024, 1, 10), date(2024, 1, 12))
+    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_unknown_and_missing_tables(spark, tmp_path):
     with pytest.raises(ValueError, match="airline_daily_performance"):
         gold.gold_table(spark, str(tmp_path), "nonsense")

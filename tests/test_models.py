@@ -83,3 +83,32 @@ def test_training_rows_bring_their_own_clock(spark):
     got = add_base_features(table).first()
     assert (got.is_raining, got.is_high_wind, got.is_low_visibility, got.is_bad_weather) == (1, 1, 1, 1)
     assert (got.flight_phase, got.is_slow, got.is_peak_hour, got.is_weekend) == (2, 1, 1, 1)
+
+
+def test_metrics_of_a_constant_label(spark):
+    rows = spark.createDataFrame([(5.0, 4.0), (5.0, 7.0)], "delay_minutes double, prediction double")
+    got = summaries.regression_metrics(rows).first()
+    assert (got.rmse, got.mae, got.r2) == (1.5811, 1.5, None)
+
+
+def test_sample_is_the_first_rows_by_key(rows, models):
+    scored = training.predict_delay(models[0], rows)
+    one = summaries.prediction_sample(scored).collect()
+    assert one == summaries.prediction_sample(scored.repartition(7)).collect()
+    assert [r.flight_id for r in one] == sorted(r.flight_id for r in one)
+
+
+def test_a_model_depends_on_rows_and_seed_only(rows):
+    key = ("flight_id", "ingested_at")
+    fits = [
+        training.fit_delay(training.laid_out(some, *key, partitions=3), trees=3, depth=3)
+        for some in (rows, rows.repartition(9, "destination"))
+    ]
+    scored = [
+        sorted(training.predict_delay(m, rows).select(*key, "prediction").collect()) for m in fits
+    ]
+    assert scored[0] == scored[1]
+
+
+def test_default_model_is_whole():
+    assert (training.TREES, training.DEPTH) == (100, 8)

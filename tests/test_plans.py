@@ -101,3 +101,10 @@ def test_no_cross_join_and_no_python(spark, sf_dir, reports, given):
         plan = plan_of(frame)
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_one_flight_computes_the_rotations_of_its_aircraft_only(given):
+    flights = live.live_state(given)
+    plan = live.one_with_ripple(flights, "F0-78929")._jdf.queryExecution().optimizedPlan().toString()
+    before_windows = plan[plan.rindex("Window") :]
+    assert "LeftSemi" in before_windows

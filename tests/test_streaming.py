@@ -1,14 +1,17 @@
 """Streams against the batch path, restarts, replays and expiry."""
 
+import json
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tailwake import schemas as S
 from tailwake.operators.rotation import rotation_index
 from tailwake.plans import live, silver
-from tailwake.sources import envelopes, events
+from tailwake.sources import envelopes, events, files
 from tailwake.sources.workspace import new_folder
-from tailwake.streaming import jobs
+from tailwake.streaming import jobs, live_tables
 from tailwake.streaming.live_tables import LiveTables
 
 
@@ -73,7 +76,7 @@ def test_live_tables_match_batch(spark, topic):
     assert rows_of(tables.flights(spark).select(*S.LIVE_COLUMNS)) == rows_of(live.live_state(batch))
     index = tables.rotation_list(spark).select("registration", "flight_id", "timestamp")
     assert rows_of(index) == rows_of(rotation_index(batch))
-    stats = spark.read.parquet(f"{base}/stats")
+    stats = tables.stats_history(spark)
     assert stats.count() >= 4
     assert stats.agg(F.sum("total_flights")).first()[0] == batch.count()
     assert tables.latest_stats(spark).count() == 1
@@ -88,7 +91,79 @@ def test_replayed_batch_changes_nothing(spark, given):
     before = rows_of(tables.flights(spark))
     tables.update(parts[1], 1)
     assert rows_of(tables.flights(spark)) == before
-    assert spark.read.parquet(f"{base}/stats").count() == 2
+    assert tables.stats_history(spark).count() == 2
+
+
+def test_a_replayed_batch_keeps_its_clock(spark, given):
+    tables = LiveTables(new_folder(spark, "replay-clock"))
+    tables.update(given.limit(50), 0)
+    seen = [r[0] for r in tables.flights(spark).select("seen_at").distinct().collect()]
+    time.sleep(1.1)
+    tables.update(given.limit(50), 0)
+    assert [r[0] for r in tables.flights(spark).select("seen_at").distinct().collect()] == seen
+
+
+def test_a_fresh_checkpoint_goes_on_from_the_newest_state(spark, given):
+    tables = LiveTables(new_folder(spark, "reset"), live_ttl_s=None, clock=lambda: F.lit(50))
+    parts = given.randomSplit([0.4, 0.3, 0.3], 7)
+    tables.update(parts[0], 100)
+    tables.update(parts[1], 101)
+    before = tables.flights(spark).count()
+    tables.update(parts[2], 0)
+    assert tables.flights(spark).count() > before
+    assert tables.latest_stats(spark).first().batch_id == 0
+    assert [r.batch_id for r in tables.stats_history(spark).collect()].count(0) == 1
+
+
+def test_readers_see_whole_batches_only(spark, given):
+    class Halfway(LiveTables):
+        def _publish(self, spark, pointer):
+            raise RuntimeError("stopped before publication")
+
+    base = new_folder(spark, "halfway")
+    tables = LiveTables(base, clock=lambda: F.lit(50))
+    tables.update(given.limit(100), 0)
+    reader, before = tables.flights(spark), rows_of(tables.flights(spark))
+    with pytest.raises(RuntimeError):
+        Halfway(base, clock=lambda: F.lit(60)).update(given, 1)
+    assert rows_of(tables.flights(spark)) == before
+    tables.update(given.limit(200), 1)
+    assert rows_of(reader) == before  # a slow reader keeps its files
+
+
+def test_old_batches_are_removed(spark, given):
+    tables = LiveTables(new_folder(spark, "kept"), clock=lambda: F.lit(50))
+    for batch in range(live_tables.KEPT_BATCHES + 3):
+        tables.update(given.limit(3), batch)
+    assert len(files.names(spark, f"{tables.base}/published")) == live_tables.KEPT_BATCHES + 1
+    assert len(files.names(spark, f"{tables.base}/batches")) == live_tables.KEPT_BATCHES + 1
+
+
+def test_odd_times_do_not_stop_a_stream(spark, tmp_path):
+    base = str(tmp_path)
+    times = [1704067200, 1704067200000, 1704067200000000, -5, 2**62, 4102444799, 4102444800]
+    lines = [json.dumps({"key": "k", "value": json.dumps({"flight_id": f"F{t}", "timestamp": t})}) for t in times]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+
+    def run():
+        messages = spark.readStream.schema("key string, value string, timestamp timestamp").json(f"{base}/in")
+        parsed = envelopes.decode_reports(messages)
+        jobs.drain(jobs.start_bronze(parsed, f"{base}/bronze", f"{base}/ck", jobs.ONCE))
+        return {r.flight_id: str(r.ingestion_date) for r in spark.read.parquet(f"{base}/bronze").collect()}
+
+    want = {f"F{t}": "None" for t in times} | {"F1704067200": "2024-01-01", "F4102444799": "2099-12-31"}
+    assert run() == want
+    assert run() == want  # and again from its checkpoint
+
+
+def test_console_sink(spark, topic, tmp_path):
+    enriched = silver.enrich(envelopes.decode_reports(read_topic(spark, topic)))
+    query = jobs.start_console(enriched, str(tmp_path), jobs.ONCE)
+    jobs.drain(query)
+    assert "ConsoleTable" in query.lastProgress["sink"]["description"]
+    read = sum(p["numInputRows"] for p in query.recentProgress)
+    assert read == spark.read.parquet(topic).count()
 
 
 def test_expiry_counts_from_the_last_sighting(spark, given):

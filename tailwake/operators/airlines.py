@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tailwake import constants as K
 from tailwake.functions import airline, bands
-from tailwake.sources.workspace import materialize
 
 
 PERFORMANCE_INPUTS = (
@@ -70,11 +69,11 @@ def _best_first() -> list[Column]:
 def rank_airlines(performance: DataFrame) -> DataFrame:
     """All airlines with their place, best score first, ties by code.
 
-    The figures are written out first, so the live view behind them is computed once. The score
-    has one decimal, hence at most 1,001 values: airlines are numbered within their score in
-    parallel and only the per-score counts pass through one task and a broadcast.
+    The score has one decimal, hence at most 1,001 values: airlines are numbered within their score
+    in parallel and only the per-score counts pass through one task and a broadcast. Both uses of
+    the figures begin with the same exchange, which is computed once.
     """
-    figures = materialize(performance, "airline-performance")
+    figures = performance
     within_score = Window.partitionBy("api_score").orderBy("airline_icao")
     better = (
         Window.orderBy(F.col("api_score").desc()).rowsBetween(Window.unboundedPreceding, -1)

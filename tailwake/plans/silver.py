@@ -39,10 +39,17 @@ def silver(enriched: DataFrame) -> DataFrame:
     return enriched.select(*S.SILVER_COLUMNS, F.current_date().alias("processing_date"))
 
 
-def stored(silver_rows: DataFrame) -> DataFrame:
-    """Silver as it is stored: with the UTC date of the report, by which it is partitioned, so that
-    a refresh of a few days finds them. The date of processing stays a plain column."""
-    return silver_rows.withColumn(EVENT_DATE, timing.utc_date(F.col("timestamp")))
+def stored(enriched: DataFrame) -> DataFrame:
+    """Silver as it is stored: with all that the live view and the messages need, and the UTC date
+    of the report, by which it is partitioned, so that a refresh of a few days finds them. The date
+    of processing is a plain column."""
+    more = [c for c in S.ENRICHED_COLUMNS if c not in S.SILVER_COLUMNS]
+    return enriched.select(
+        *S.SILVER_COLUMNS,
+        *more,
+        F.current_date().alias("processing_date"),
+        timing.utc_date(F.col("timestamp")).alias(EVENT_DATE),
+    )
 
 
 def rebuild_silver(bronze_rows: DataFrame, **models) -> DataFrame:

@@ -43,3 +43,8 @@ def remove(spark: SparkSession, path: str) -> None:
     """Remove a file or folder of this library's own making."""
     system, at = _on(spark, path)
     system.delete(at, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, at = _on(spark, path)
+    system.mkdirs(at)

@@ -1,9 +1,11 @@
 """Streaming queries from message envelopes to the lake, the live tables and a message sink.
 
-Bronze, silver and predictions are append queries on Spark's file sink, whose log makes every
-micro-batch land exactly once; each has its own checkpoint and resumes from it. The live tables
-are kept by one ``foreachBatch`` query (``streaming.live_tables``). An error in a sink fails its
-query, so no batch is skipped.
+Bronze and silver read the messages; predictions and the live tables read the stored silver table as
+a stream, so reports are enriched and scored by the model once. Bronze, silver and predictions are
+append queries on Spark's file sink, whose log makes every micro-batch land exactly once, also for
+those that read it; each has its own checkpoint and resumes from it. The live tables are kept by one
+``foreachBatch`` query (``streaming.live_tables``). An error in a sink fails its query, so no batch
+is skipped.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tailwake import schemas as S
 from tailwake.plans import silver as layers
+from tailwake.sources import files
 from tailwake.sources.envelopes import decode_reports, encode_predictions
 from tailwake.streaming.live_tables import LiveTables
 
@@ -57,7 +60,7 @@ def start_silver(
     enriched: DataFrame, path: str, checkpoints: str, trigger: Mapping = INTERVAL, fmt: str = "parquet"
 ) -> StreamingQuery:
     """Enriched reports, partitioned by the date of the report."""
-    rows = layers.stored(layers.silver(enriched))
+    rows = layers.stored(enriched)
     return _append(rows, "silver", checkpoints, trigger, fmt, path, [layers.EVENT_DATE])
 
 
@@ -108,21 +111,38 @@ def start_all(
     console: bool = False,
 ) -> dict[str, StreamingQuery]:
     """All queries over one source of envelopes; predictions go to files below ``base`` unless
-    ``predictions`` names another sink (``fmt``, ``path``, ``options``)."""
+    ``predictions`` names another sink (``fmt``, ``path``, ``options``).
+
+    What follows silver sees a report up to one interval after it is stored. With a trigger that
+    ends, silver is waited for before they start.
+    """
     parsed = decode_reports(envelopes)
     enriched = layers.enrich(parsed, delay_model=delay_model, cluster_model=cluster_model)
     sink = predictions or {"fmt": "json", "path": f"{base}/predictions"}
     queries = {
         "bronze": start_bronze(parsed, f"{base}/bronze", checkpoints, trigger, fmt),
         "silver": start_silver(enriched, f"{base}/silver", checkpoints, trigger, fmt),
-        "predictions": start_predictions(enriched, checkpoints, trigger, **sink),
-        "live": start_live(enriched, LiveTables(f"{base}/live"), checkpoints, trigger),
     }
+    if "processingTime" not in trigger:
+        drain(queries["silver"])
+    stored = stored_stream(enriched, f"{base}/silver", fmt)
+    queries["predictions"] = start_predictions(stored, checkpoints, trigger, **sink)
+    queries["live"] = start_live(stored, LiveTables(f"{base}/live"), checkpoints, trigger)
     if console:
-        queries["console"] = start_console(enriched, checkpoints, trigger)
+        queries["console"] = start_console(stored, checkpoints, trigger)
     return queries
 
 
+def stored_stream(enriched: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """The silver table that ``enriched`` is stored in, as a stream."""
+    spark = enriched.sparkSession
+    reader = spark.readStream.format(fmt)
+    if fmt != "delta":
+        files.make_folder(spark, path)
+        reader = reader.schema(layers.stored(enriched).schema)
+    return reader.load(path)
+
+
 def await_any(spark: SparkSession, queries: Mapping[str, StreamingQuery]) -> None:
     """Wait until one query ends or fails, then stop the others."""
     try:

@@ -63,7 +63,7 @@ def test_a_day_that_became_empty_goes(spark, given, tmp_path):
 
 
 def test_a_range_reads_only_its_days(spark, given, tmp_path):
-    rows = silver.stored(silver.silver(given))
+    rows = silver.stored(given)
     rows.write.partitionBy(silver.EVENT_DATE).parquet(str(tmp_path / "silver"))
     stored = spark.read.parquet(str(tmp_path / "silver"))
     table = gold.build(stored, "airline_daily_performance", date(2024, 1, 10), date(2024, 1, 12))

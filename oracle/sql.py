@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from tailwake import constants as K
 from tailwake import schemas as S
+from tailwake.plans import training
 from tailwake.plans.serving import IMPACT_COLUMNS, RIPPLE_COLUMNS
 from tailwake.sources import events as E
 
@@ -750,6 +751,24 @@ def statements() -> dict[str, str]:
             "streamed": _latest("sent_rows"),
         },
     )
+    numbers = " UNION ALL ".join(
+        f"""SELECT '{c}' AS category, {c} AS value,
+            CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS INTEGER) AS number
+            FROM labelled WHERE {c} <> '' GROUP BY {c}"""
+        for c in training.CATEGORIES
+    )
+    labelled = {"labelled": "SELECT * FROM featured"}
+    out["ml_string_index"] = upto("featured", numbers, labelled)
+    out["ml_scaler"] = upto(
+        "featured",
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS feature, round(avg(CAST({c} AS DOUBLE)), 4) AS mean,
+            round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS deviation FROM labelled"""
+            for c in training.NUMERIC
+        ),
+        labelled,
+    )
+    out["ml_cluster_nearest"] = upto("featured", "SELECT count(*) AS rows, count(*) AS nearest FROM featured")
     out["stream_alerts"] = upto(
         "ruled",
         "SELECT flight_id, timestamp, predicted_delay_minutes FROM streamed",

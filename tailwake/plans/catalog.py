@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tailwake import schemas as S
@@ -507,6 +508,45 @@ def _delay_model(i: Inputs):
     return training.fit_delay(training.laid_out(fit, *ROW)), held_out
 
 
+def ml_string_index(i: Inputs) -> DataFrame:
+    """The number that the indexer gives each known category."""
+    rows = training.without_blanks(i.labelled)
+    numbered = training.delay_pipeline().getStages()[0].fit(rows).transform(rows)
+    parts = [
+        numbered.where(F.col(c).isNotNull())
+        .select(F.lit(c).alias("category"), F.col(c).alias("value"), F.col(f"{c}_idx").cast("int").alias("number"))
+        .distinct()
+        for c in training.CATEGORIES
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def ml_scaler(i: Inputs) -> DataFrame:
+    """Mean and deviation that the scaler takes from each numeric feature."""
+    assembler, scaler = training.scaled(training.NUMERIC, "features")
+    model = scaler.fit(assembler.transform(i.labelled))
+    figures = zip(training.NUMERIC, model.mean.toArray(), model.std.toArray(), strict=True)
+    rows = [(name, round(float(mean), 4), round(float(std), 4)) for name, mean, std in figures]
+    return i.spark.createDataFrame(rows, "feature string, mean double, deviation double")
+
+
+def ml_cluster_nearest(i: Inputs) -> DataFrame:
+    """Rows of the cluster model, and those whose cluster has the nearest centre."""
+    model = training.cluster_pipeline().fit(training.laid_out(i.featured, *ROW))
+    centers = model.stages[-1].clusterCenters()
+    place = vector_to_array("cluster_features")
+
+    def distance(center) -> Column:
+        return sum(((place[j] - float(x)) * (place[j] - float(x)) for j, x in enumerate(center)), F.lit(0.0))
+
+    far = F.array(*[distance(c) for c in centers])
+    own = F.element_at(far, F.col("spatial_cluster") + 1)
+    return model.transform(i.featured).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(own <= F.array_min(far) + 1e-9).alias("nearest"),
+    )
+
+
 def ml_delay_predict(i: Inputs) -> DataFrame:
     model, held_out = _delay_model(i)
     return training.predict_delay(model, held_out).select(
@@ -615,6 +655,9 @@ QUERIES = {
     "stream_alerts": stream_alerts,
     "stream_rotations": stream_rotations,
     "stream_predict": stream_predict,
+    "ml_string_index": ml_string_index,
+    "ml_scaler": ml_scaler,
+    "ml_cluster_nearest": ml_cluster_nearest,
     "ml_delay_predict": ml_delay_predict,
     "prediction_sample": prediction_sample,
     "spatial_clusters": spatial_clusters,

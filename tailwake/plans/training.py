@@ -28,7 +28,7 @@ NO_CLUSTER = -1
 PARTITIONS = 32
 
 
-def _scaled(inputs, name: str) -> list:
+def scaled(inputs, name: str) -> list:
     """Assembler (rows with nulls are skipped) and scaler to zero mean and unit deviation."""
     raw = f"{name}_raw"
     return [
@@ -45,7 +45,7 @@ def delay_pipeline(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) ->
         stages=[
             StringIndexer(inputCols=list(CATEGORIES), outputCols=indexed, handleInvalid="keep"),
             OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
-            *_scaled([*NUMERIC, *encoded], "features"),
+            *scaled([*NUMERIC, *encoded], "features"),
             RandomForestRegressor(
                 featuresCol="features", labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed
             ),
@@ -56,7 +56,7 @@ def delay_pipeline(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) ->
 def cluster_pipeline(k: int = CLUSTERS, seed: int = SEED) -> Pipeline:
     return Pipeline(
         stages=[
-            *_scaled(("latitude", "longitude", "altitude_ft"), "cluster_features"),
+            *scaled(("latitude", "longitude", "altitude_ft"), "cluster_features"),
             KMeans(
                 featuresCol="cluster_features", predictionCol="spatial_cluster", k=k, seed=seed
             ),
@@ -77,13 +77,16 @@ def laid_out(rows: DataFrame, *key: str, partitions: int = PARTITIONS) -> DataFr
     return rows.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
+def without_blanks(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in CATEGORIES})
+
+
 def fit_delay(
     rows: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED
 ) -> PipelineModel:
     """Delay model from featured, labelled rows. Blank categories are not learnt: they share the
     bucket of unseen ones, at training and at inference."""
-    known = {c: F.nullif(F.col(c), F.lit("")) for c in CATEGORIES}
-    return delay_pipeline(trees, depth, seed).fit(rows.withColumns(known))
+    return delay_pipeline(trees, depth, seed).fit(without_blanks(rows))
 
 
 def train(

@@ -29,6 +29,8 @@ class EliasFano:
 
     def __init__(self, count: int, width: int, low: np.ndarray, high: np.ndarray):
         self.count, self.width, self.low, self.high = count, width, low, high
+        # Eight bytes from every place of the lower bits, without a copy.
+        self._eights = np.ndarray((len(low) - 7,), "<u8", low, strides=(1,))
         self._ranks: np.ndarray | None = None
 
     @classmethod
@@ -94,10 +96,7 @@ class EliasFano:
         if not self.width:
             return np.zeros(len(i), np.uint64)
         bit = i * self.width
-        raw = np.zeros(len(i), np.uint64)
-        for byte in range(8):
-            raw |= self.low[(bit >> 3) + byte].astype(np.uint64) << np.uint64(8 * byte)
-        raw >>= (bit & 7).astype(np.uint64)
+        raw = self._eights[bit >> 3] >> (bit & 7).astype(np.uint64)
         return raw & np.uint64((1 << self.width) - 1)
 
     def get(self, i: np.ndarray) -> np.ndarray:
@@ -124,10 +123,11 @@ class EliasFano:
         stop = np.where(inside, stop, self.count)
         target = x & np.uint64((1 << self.width) - 1)
         going = np.flatnonzero(at < stop)
-        while len(going):
-            behind = self._lower(at[going]) < target[going]
-            at[going] += behind
-            going = going[behind]
+        while len(going):  # halve the range of numbers with the same upper bits
+            middle = (at[going] + stop[going]) >> 1
+            behind = self._lower(middle) < target[going]
+            at[going[behind]] = middle[behind] + 1
+            stop[going[~behind]] = middle[~behind]
             going = going[at[going] < stop[going]]
         return at
 
@@ -174,7 +174,7 @@ class Trie:
 
     @classmethod
     def open(cls, path: Path) -> Trie:
-        return cls(np.memmap(path, np.uint8, mode="r"))
+        return cls(np.asarray(np.memmap(path, np.uint8, mode="r")))
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Code of each key, 0 where it is missing."""

@@ -87,6 +87,14 @@ def _squeeze(values: np.ndarray) -> bytes:
     return zlib.compress(values.tobytes(), 1)
 
 
+class _Numbers(dict):
+    """Numbers its keys in the order in which they are asked for."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = number = len(self)
+        return number
+
+
 class Batch:
     """The distinct words (by hash, rising) and pairs of some documents, and where each of their
     tokens is among them."""
@@ -102,10 +110,10 @@ class Batch:
 
     @classmethod
     def of(cls, docs: list[tuple[int | None, bool, list[bytes]]]) -> Batch:
-        known: dict[bytes, int] = {END: 0}
+        known = _Numbers({END: 0})
         flat: list[int] = []
         for _, _, words in docs:
-            flat += [known.setdefault(w, len(known)) for w in words]
+            flat.extend(map(known.__getitem__, words))
             flat.append(0)
         hashed = np.fromiter((xxhash.xxh64_intdigest(w) for w in known), np.uint64, len(known))
         names, place = np.unique(hashed, return_inverse=True)
@@ -187,7 +195,7 @@ def answer(table: pa.Table) -> pa.Table:
                 del trie
             else:
                 path.write_bytes(EliasFano.of(keys).to_bytes())
-                level = EliasFano.from_buffer(np.memmap(path, np.uint8, mode="r"))
+                level = EliasFano.from_buffer(np.asarray(np.memmap(path, np.uint8, mode="r")))
                 for i in rows:
                     replies[i] = _squeeze(_exact(level, counts, asked[i]))
                 del level

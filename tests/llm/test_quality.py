@@ -91,7 +91,7 @@ def test_against_brute_force(spark, corpus, limit):
 
 def test_footers_go_and_copies_stay(spark, corpus):
     rows = {r["doc_id"]: r for r in judged(spark, corpus, line_limit=10).collect()}
-    assert all(rows[i]["removed_words"] == 17 for i in range(12))
+    assert all(rows[i]["removed_words"] == 16 for i in range(12))
     assert all(rows[i]["removed_words"] == 0 and rows[i]["kept"] for i in range(200, 220))
     assert all(rows[100 + i]["kept"] for i in range(30))
 

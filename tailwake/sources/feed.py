@@ -32,6 +32,11 @@ def _slot(name: str, dtype: str) -> Column:
     return F.try_variant_get("slots", f"$[{SLOT[name]}]", dtype)
 
 
+def _has(slot: int) -> Column:
+    """Whether an array reaches that far; a JSON null in the slot counts as there."""
+    return F.try_variant_get("slots", f"$[{slot}]", "variant").isNotNull()
+
+
 def _text(*names: str) -> Column:
     """First slot with non-empty text, else an empty string."""
     filled = [F.nullif(_slot(name, "string"), F.lit("")) for name in names]
@@ -55,7 +60,8 @@ def normalize_feed(snapshots: DataFrame, ingested_at: Column | None = None) -> D
 
     ``snapshots`` has the JSON text in ``value``. Metadata keys, values that are not arrays,
     arrays that are too short, rows with an unreadable position, height, speed or heading, and
-    aircraft on the ground are dropped. ``ingested_at`` defaults to the current time.
+    aircraft on the ground are dropped. ``ingested_at`` defaults to the current time. The slots are
+    unpacked by a generator of one row, so that the filters on them do not unpack them again.
     """
     if ingested_at is None:
         now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
@@ -66,12 +72,8 @@ def normalize_feed(snapshots: DataFrame, ingested_at: Column | None = None) -> D
             "flight_id", "slots"
         ),
     )
-    size = F.size(F.try_variant_get("slots", "$", "array<variant>"))
-    airline = F.when(size > SLOT["airline_icao"], _slot("airline_icao", "string")).otherwise("")
-    flights = entries.filter(
-        ~F.col("flight_id").isin(*METADATA_KEYS) & (size >= MIN_SLOTS)
-    ).select(
-        "flight_id",
+    airline = F.when(_has(SLOT["airline_icao"]), _slot("airline_icao", "string")).otherwise("")
+    fields = F.struct(
         _text("callsign", "flight_number").alias("callsign"),
         airline.alias("airline_icao"),
         *[_text(n).alias(n) for n in ("aircraft_model", "registration", "origin", "destination")],
@@ -80,8 +82,10 @@ def normalize_feed(snapshots: DataFrame, ingested_at: Column | None = None) -> D
         *[_whole(n).alias(n) for n in ("altitude_ft", "speed_kn", "heading_deg")],
         _truthy("on_ground").alias("on_ground"),
         _slot("timestamp", "bigint").alias("timestamp"),
-        "ingested_at",
     )
+    flights = entries.filter(
+        ~F.col("flight_id").isin(*METADATA_KEYS) & _has(MIN_SLOTS - 1)
+    ).select("flight_id", "ingested_at", F.inline(F.array(fields)))
     readable = ("latitude", "longitude", "altitude_ft", "speed_kn", "heading_deg")
     return flights.dropna(subset=list(readable)).filter(~F.col("on_ground")).select(
         *S.REPORT_COLUMNS

@@ -8,6 +8,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tailwake.sources import files
+
 SETTING = "spark.checkpoint.dir"
 
 
@@ -30,9 +32,21 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root()
 
 
+_made: list[str] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """Path of a fresh folder below the shared root."""
-    return f"{shared_root(spark)}/tailwake/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/tailwake/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove all folders that this process has asked for. For the end of a job: DataFrames that
+    start from them can't be read afterwards."""
+    while _made:
+        files.remove(spark, _made.pop())
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

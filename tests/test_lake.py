@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tailwake.plans import gold, silver
-from tailwake.sources import lake, workspace
+from tailwake.sources import files, lake, workspace
 
 
 @pytest.fixture(scope="module")
@@ -101,3 +101,14 @@ def test_shared_root_comes_from_the_session(spark):
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert workspace.shared_root(spark) == root
     assert workspace.new_folder(spark, "x").startswith(root)
+
+
+def test_scratch_folders_are_removed(spark):
+    made, workspace._made[:] = list(workspace._made), []
+    kept = workspace.materialize(spark.range(3).toDF("x"), "scratch")
+    assert kept.count() == 3
+    workspace.remove_scratch(spark)
+    assert workspace._made == []
+    path = kept.inputFiles()[0].rpartition("/")[0]
+    assert files.names(spark, path) == []
+    workspace._made[:] = made

@@ -126,6 +126,8 @@ def removed_lines(measured: DataFrame, line_limit: int = LINE_LIMIT) -> DataFram
         .distinct()
     )
     common = lines.groupBy(*line).count().where(F.col("count") > line_limit).select(*line)
+    # Written first, so that the join shuffles both sides and adaptive execution can split them.
+    common = materialize(common, "common")
     shared = materialize(lines.join(common, line), "lines")
     family = shared.groupBy("key", "host").agg(
         F.sum("words").alias("shared_words"),
@@ -149,6 +151,7 @@ def removed_lines(measured: DataFrame, line_limit: int = LINE_LIMIT) -> DataFram
         .where(F.col("count") > line_limit)
         .select(*line)
     )
+    frequent = materialize(frequent, "frequent")
     return (
         shared.join(frequent, line)
         .groupBy("key", "host")

@@ -1,16 +1,13 @@
-"""What the text operators share: reading columns safely, words, and ordered batches of rows."""
+"""What the text operators share."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word, as every contract here has it: anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -55,10 +52,5 @@ def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(name).to_pylist()
 
 
-def batches(rows: Iterator[dict[str, list]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for row in rows:
-        yield pa.RecordBatch.from_pydict(row, schema=schema)
-
-
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -34,7 +34,7 @@ END_ID = 2
 #: Rests that are packed together.
 BATCH = 512
 #: Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 SCHEMA = pa.schema(
     [

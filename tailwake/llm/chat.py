@@ -1,12 +1,13 @@
 """Chat formatting: tool calls linked with their results, ordered, validated and serialised.
 
 Calls and results are joined by conversation and identifier. Which of several rows with one
-identifier counts is settled by a grouped minimum, and results are one row per identifier before the
-join, so the join never multiplies rows. A call may name the call it builds on; its level is the
-number of calls before it on that chain. Levels come from pointer doubling: each round joins a call
-with the one it points to, adds up the distances and points on, so a chain of n calls takes
-log2(n) rounds, each written to the shared folder. A call whose chain never ends is in a cycle or
-builds on one. Levels order calls topologically; no round sorts or gathers a conversation.
+identifier counts is settled by a grouped minimum. Calls are one row per identifier before a join, and
+each distinct result meets at most one call, so the join never multiplies rows. A call may name the
+call it builds on; its level is the number of calls before it on that chain. Levels come from pointer
+doubling: each round joins a call with the one it points to, adds up the distances and points on, so a
+chain of n calls takes log2(n) rounds, each written to the shared folder. A call whose chain never ends
+is in a cycle or builds on one. Levels order calls topologically; no round sorts or gathers a
+conversation.
 
 Arguments are parsed as JSON and held against the function's schema: required fields, no unknown
 fields, types. The canonical form has its keys sorted at every depth and no white space. Built-in
@@ -14,11 +15,12 @@ functions only.
 
 Defined cases: null or malformed arguments, or arguments that are no object, are invalid. A function
 without a schema is unknown. A null conversation or call identifier links with nothing: such a
-call is unnamed, such results are one orphan. Of several
+call is unnamed, each such result an orphan. Of several
 calls with one identifier the earliest turn, then the smallest text, is the call and the others are
-duplicates; of several results the earliest. A call that builds on a missing call starts a chain. A
-result before its call is not linked. Repeated rows are one. Empty tables give an empty result. Only
-the named columns are read.
+duplicates. Of several results after their call the earliest turn, then the smallest content, is the
+answer and the others are duplicates. A result that is not after its call, or where either turn is
+null, is early. A call that builds on a missing call starts a chain. Repeated rows are one. Empty
+tables give an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -127,12 +129,13 @@ def levels(calls: DataFrame) -> DataFrame:
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
     """One row per distinct row of ``calls`` (conv_id, call_id, turn, function, arguments, after) and per
-    result (conv_id, call_id, turn, content) without a call.
+    distinct row of ``results`` (conv_id, call_id, turn, content) that answers none of them.
 
     conv_id, call_id, level, call_turn, result_turn, status, problems, and ``message``, the canonical
     JSON of the call with its result. Status: linked, invalid (arguments), unknown (function), cycle,
-    duplicate (of another call), unnamed
-    (a null identifier), unanswered, or orphan (a result without a call).
+    duplicate (of another call, or of the result that answers it), unnamed
+    (a null identifier), unanswered, early (a result not after its call), or orphan (a result without
+    a call).
     """
     key = ["conv_id", "call_id"]
     calls = calls.select(
@@ -150,20 +153,32 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame
         .agg(F.min(body).alias("first"))
     )
     single = first.select(*key, "first.*")
-    replies = (
-        results.select(
-            "conv_id",
-            F.col("call_id").cast("string").alias("call_id"),
-            F.struct(F.col("turn").cast("long").alias("turn"), F.col("content").alias("content")).alias("reply"),
-        )
-        .groupBy(*key)
-        .agg(F.min("reply").alias("reply"))
+    results = results.select(
+        "conv_id",
+        F.col("call_id").cast("string").alias("call_id"),
+        F.struct(F.col("turn").cast("long").alias("turn"), F.col("content").alias("content")).alias("reply"),
+    ).distinct()
+    named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    # Written, so that adaptive execution can split this join and those that follow.
+    met = materialize(
+        results.where(named)
+        .join(single.select(*key, F.col("turn").alias("asked"), F.lit(True).alias("known")), key, "left")
+        .select(
+            *key,
+            "reply",
+            F.when(F.col("reply.turn") > F.col("asked"), "answer")
+            .when(F.col("known"), "early")
+            .otherwise("orphan")
+            .alias("fixed"),
+        ),
+        "results",
     )
+    replies = met.where("fixed = 'answer'").groupBy(*key).agg(F.min("reply").alias("reply"))
     ordered = single.select(*key, "after").join(levels(single.select(*key, "after")), key)
     chosen = (
-        first.join(replies, key, "full_outer")
+        first.join(replies, key, "left")
         .join(ordered.select(*key, "level"), key, "left")
-        .withColumn("answers", F.col("reply.turn") > F.col("first.turn"))
+        .withColumn("answers", F.col("reply").isNotNull())
     )
     others = (
         calls.withColumn("body", body)
@@ -177,13 +192,23 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame
             .alias("fixed"),
         )
     )
-    rows = chosen.withColumn("fixed", F.lit(None).cast("string")).unionByName(others, allowMissingColumns=True)
+    surplus = (
+        met.where("fixed = 'answer'")
+        .join(replies.select(*key, F.col("reply").alias("best")), key)
+        .where("not (reply <=> best)")
+        .select(*key, "reply", F.lit("duplicate").alias("fixed"))
+    )
+    unlinked = met.where("fixed != 'answer'").unionByName(
+        results.where(~named).select(*key, "reply", F.lit("orphan").alias("fixed"))
+    )
+    rows = chosen.withColumn("fixed", F.lit(None).cast("string"))
+    for more in (others, surplus, unlinked):
+        rows = rows.unionByName(more, allowMissingColumns=True)
     wrong = problems(F.col("first.function"), F.col("first.arguments"), schemas)
     linked = F.coalesce("answers", F.lit(False))
     rows = rows.withColumn("problems", F.when(F.col("first").isNotNull(), wrong))
     status = (
-        F.when(F.col("first").isNull(), "orphan")
-        .when(F.col("fixed").isNotNull(), F.col("fixed"))
+        F.when(F.col("fixed").isNotNull(), F.col("fixed"))
         .when(F.col("problems").isNull(), "unknown")
         .when(F.size("problems") > 0, "invalid")
         .when(F.col("level").isNull(), "cycle")

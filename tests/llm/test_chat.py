@@ -63,6 +63,38 @@ def test_faults(spark):
     }
 
 
+def test_every_result_has_a_row(spark):
+    calls = [(1, "a", 2, "add", GOOD, None), (1, "b", 0, "add", GOOD, None), (1, "n", None, "add", GOOD, None)]
+    results = [
+        (1, "a", 1, "before"), (1, "a", None, "no turn"), (1, "a", 3, "valid"), (1, "a", 3, "valid too"),
+        (1, "a", 3, "valid too"), (1, "a", 5, None), (1, "b", 1, "x"), (1, "b", 1, "y"), (1, "n", 4, "?"),
+        (None, "a", 3, "p"), (None, "a", 3, "q"), (None, None, 4, "r"), (2, None, None, "s"), (2, None, None, "t"),
+    ]
+    found = chat.link_calls(
+        spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), SCHEMAS
+    ).collect()
+    rows = Counter((r["conv_id"], r["call_id"], r["call_turn"], r["result_turn"], r["status"]) for r in found)
+    assert rows == Counter(
+        {
+            (1, "a", 2, 3, "linked"): 1, (1, "b", 0, 1, "linked"): 1, (1, "n", None, None, "unanswered"): 1,
+            (1, "a", None, 1, "early"): 1, (1, "a", None, None, "early"): 1, (1, "n", None, 4, "early"): 1,
+            (1, "a", None, 3, "duplicate"): 1, (1, "a", None, 5, "duplicate"): 1,
+            (1, "b", None, 1, "duplicate"): 1, (None, "a", None, 3, "orphan"): 2,
+            (None, None, None, 4, "orphan"): 1, (2, None, None, None, "orphan"): 2,
+        }
+    )
+    (a,) = [r for r in found if r["call_id"] == "a" and r["status"] == "linked"]
+    assert json.loads(a["message"])["result"] == "valid"
+
+
+def test_turns_with_null_keys_stay(spark):
+    turns = [(None, 1, "assistant", "x"), (None, 1, "assistant", "y"), (5, None, "assistant", "x"),
+             (5, None, "assistant", "z"), (6, 0, "user", "q"), (6, 1, "assistant", "x"), (6, 1, "assistant", "y")]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    found = chat.link_calls(*chat.conversation_calls(table), chat.REPLY).collect()
+    assert Counter(r["status"] for r in found) == {"orphan": 4, "linked": 1, "duplicate": 1}
+
+
 def test_long_chain_and_empty(spark):
     calls = [(1, str(i), i, "add", GOOD, str(i - 1)) for i in range(100)]
     found = linked(spark, calls, [])

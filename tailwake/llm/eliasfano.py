@@ -142,10 +142,10 @@ class Trie:
     """
 
     WORD_BITS = 24
-    HEAD = struct.Struct("<QQQQ")
+    HEAD = struct.Struct("<QQQQQ")
 
     def __init__(self, data: np.ndarray):
-        sizes = self.HEAD.unpack(data[: self.HEAD.size].tobytes())
+        self.word_bits, *sizes = self.HEAD.unpack(data[: self.HEAD.size].tobytes())
         parts, at = [], self.HEAD.size
         for size in sizes:
             parts.append(data[at : at + size])
@@ -154,13 +154,13 @@ class Trie:
         self.codes = parts[3]
 
     @classmethod
-    def write(cls, path: Path, keys: np.ndarray, codes: np.ndarray) -> None:
-        """``keys``: distinct and rising, the context above WORD_BITS bits of word."""
-        shift = np.uint64(cls.WORD_BITS)
+    def write(cls, path: Path, keys: np.ndarray, codes: np.ndarray, word_bits: int = WORD_BITS) -> None:
+        """``keys``: distinct and rising, the context above ``word_bits`` bits of word."""
+        shift = np.uint64(word_bits)
         context = keys >> shift
         starts = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(keys) else np.empty(0, int)
         number = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(keys)]))
-        word = keys & np.uint64((1 << cls.WORD_BITS) - 1)
+        word = keys & np.uint64((1 << word_bits) - 1)
         levels = (
             EliasFano.of(context[starts]),
             EliasFano.of(np.r_[starts, len(keys)]),
@@ -168,7 +168,7 @@ class Trie:
         )
         parts = [level.to_bytes() for level in levels] + [codes.astype(np.uint8).tobytes()]
         with open(path, "wb") as file:
-            file.write(cls.HEAD.pack(*map(len, parts)))
+            file.write(cls.HEAD.pack(word_bits, *map(len, parts)))
             for part in parts:
                 file.write(part)
 
@@ -181,8 +181,8 @@ class Trie:
         out = np.zeros(len(keys), np.uint8)
         if not self.contexts.count or not len(keys):
             return out
-        shift = np.uint64(self.WORD_BITS)
-        context, word = keys >> shift, keys & np.uint64((1 << self.WORD_BITS) - 1)
+        shift = np.uint64(self.word_bits)
+        context, word = keys >> shift, keys & np.uint64((1 << self.word_bits) - 1)
         asked, back = np.unique(context, return_inverse=True)  # one search for each context
         number = self.contexts.successor(asked)
         known = number < self.contexts.count

@@ -21,13 +21,14 @@ when ``docs`` is read from files; a check sum per batch makes anything else an e
 
 Defined cases: a null or empty text is the end alone. A null doc_id counts as the empty text for the
 split. Repeated rows are scored, and learned from, each. An empty table gives an empty result. Without
-training documents all counts are zero. Words are named by 64-bit hashes, pairs within their shard
-by 48 bits. Only doc_id and text are read.
+training documents all counts are zero. Words are named by 64-bit hashes, pairs by those of both
+words: a shard numbers its words by rising hash, and its trie holds the numbers. Only doc_id and text are read.
 """
 
 from __future__ import annotations
 
 import pickle
+import struct
 import tempfile
 import zlib
 from collections.abc import Iterator
@@ -87,6 +88,43 @@ def _squeeze(values: np.ndarray) -> bytes:
     return zlib.compress(values.tobytes(), 1)
 
 
+PAIRS = struct.Struct("<QQ")
+
+
+def pack_pairs(names: np.ndarray, left: np.ndarray, right: np.ndarray) -> bytes:
+    """Pairs in rising order of (left, right), which are places in the rising ``names``: the distinct
+    names of either side, then each pair as a number made of two places among them."""
+    lefts, left = np.unique(left, return_inverse=True)
+    rights, right = np.unique(right, return_inverse=True)
+    parts = [
+        EliasFano.of(values).to_bytes() for values in (names[lefts], names[rights], left * len(rights) + right)
+    ]
+    return PAIRS.pack(len(parts[0]), len(parts[1])) + b"".join(parts)
+
+
+def unpack_pairs(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The names of either side, and the places of each pair's two among them."""
+    first, second = PAIRS.unpack(body[: PAIRS.size])
+    cuts = np.cumsum([PAIRS.size, first, second])
+    parts = (body[cuts[0] : cuts[1]], body[cuts[1] : cuts[2]], body[cuts[2] :])
+    lefts, rights, pairs = (EliasFano.from_buffer(part).all() for part in parts)
+    return lefts, rights, *(x.astype(np.int64) for x in np.divmod(pairs, np.uint64(max(1, len(rights)))))
+
+
+def numbered(packed: list[bytes]) -> tuple[list[np.ndarray], int]:
+    """For each list of pairs its rising keys: the number of the left name among all left names above
+    that of the right one, and the bits of the latter."""
+    lists = [unpack_pairs(body) for body in packed]
+    lefts = np.unique(np.concatenate([x[0] for x in lists]))
+    rights = np.unique(np.concatenate([x[1] for x in lists]))
+    bits = len(rights).bit_length()
+    keys = [
+        (np.searchsorted(lefts, a)[left] << bits | np.searchsorted(rights, b)[right]).astype(np.uint64)
+        for a, b, left, right in lists
+    ]
+    return keys, bits
+
+
 class _Numbers(dict):
     """Numbers its keys in the order in which they are asked for."""
 
@@ -137,23 +175,28 @@ class Batch:
         words = np.bincount(self.tokens[rows], minlength=len(self.names))
         return words, np.bincount(self.pair[rows], minlength=len(self.left))
 
-    def questions(self, shards: int) -> Iterator[tuple[str, int, np.ndarray, np.ndarray]]:
-        """(kind, shard, which, sorted keys) of the words ("w") and pairs ("p") by shard."""
+    def questions(self, shards: int) -> Iterator[tuple[str, int, np.ndarray]]:
+        """(kind, shard, which) of the words ("w") and pairs ("p") by shard, in their order."""
         low = np.uint64((1 << 32) - 1)
         shard = (self.names & low) % np.uint64(shards)
-        yield from _by_shard("w", shard.astype(np.int64), self.names)
+        yield from _by_shard("w", shard.astype(np.int64))
         left, right = self.names[self.left], self.names[self.right]
         spread = (right >> np.uint64(16)) & np.uint64(7)
         shard = ((left & low) + spread * np.uint64(0x9E3779B1)) % np.uint64(shards)
-        key = left >> np.uint64(40) << np.uint64(24) | right >> np.uint64(40)
-        yield from _by_shard("p", shard.astype(np.int64), key)
+        yield from _by_shard("p", shard.astype(np.int64))
 
+    def keys(self, kind: str, which: np.ndarray) -> bytes:
+        """What names the words or pairs of a question."""
+        if kind == "w":
+            return EliasFano.of(self.names[which]).to_bytes()
+        return pack_pairs(self.names, self.left[which], self.right[which])
 
-def _by_shard(kind: str, shard: np.ndarray, key: np.ndarray):
-    order = np.lexsort((key, shard))
+
+def _by_shard(kind: str, shard: np.ndarray) -> Iterator[tuple[str, int, np.ndarray]]:
+    order = np.argsort(shard, kind="stable")
     cuts = np.flatnonzero(np.diff(shard[order])) + 1
     for which in np.split(order, cuts) if len(order) else []:
-        yield kind, int(shard[which[0]]), which, key[which]
+        yield kind, int(shard[which[0]]), which
 
 
 def _batches(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Batch]]:
@@ -175,7 +218,7 @@ def _batches(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Batch]]:
 def answer(table: pa.Table) -> pa.Table:
     """Counts for all questions of one shard, and a row with what it has seen in all."""
     kinds = table.column("kind").to_pylist()
-    asked = [EliasFano.from_buffer(k).all() for k in table.column("keys").to_pylist()]
+    named = table.column("keys").to_pylist()
     given = [np.frombuffer(zlib.decompress(c), "<u4") for c in table.column("counts").to_pylist()]
     replies: list[bytes | None] = [None] * len(kinds)
     seen = {"w": (0, 0), "p": (0, 0)}
@@ -183,21 +226,25 @@ def answer(table: pa.Table) -> pa.Table:
         rows = [i for i, k in enumerate(kinds) if k == kind]
         if not rows:
             continue
-        keys, counts = _summed([asked[i] for i in rows], [given[i] for i in rows])
+        if kind == "p":
+            asked, bits = numbered([named[i] for i in rows])
+        else:
+            asked = [EliasFano.from_buffer(named[i]).all() for i in rows]
+        keys, counts = _summed(asked, [given[i] for i in rows])
         seen[kind] = int(counts.sum()), len(keys)
         with tempfile.TemporaryDirectory() as folder:
             path = Path(folder) / "level"
             if kind == "p":
-                Trie.write(path, keys, encode_counts(counts))
+                Trie.write(path, keys, encode_counts(counts), bits)
                 trie = Trie.open(path)
-                for i in rows:
-                    replies[i] = _squeeze(trie.find(asked[i]))
+                for i, own in zip(rows, asked, strict=True):
+                    replies[i] = _squeeze(trie.find(own))
                 del trie
             else:
                 path.write_bytes(EliasFano.of(keys).to_bytes())
                 level = EliasFano.from_buffer(np.asarray(np.memmap(path, np.uint8, mode="r")))
-                for i in rows:
-                    replies[i] = _squeeze(_exact(level, counts, asked[i]))
+                for i, own in zip(rows, asked, strict=True):
+                    replies[i] = _squeeze(_exact(level, counts, own))
                 del level
     total, distinct = seen["w"]
     shard = table.column("place")[0].as_py()
@@ -245,7 +292,7 @@ def _scored(table: pa.Table, shards: int, total: int, distinct: int, strength: f
     replies = {(k, p): i for i, (k, p) in enumerate(zip(kinds, places, strict=True))}
     words = np.zeros(len(batch.names), np.int64)
     pairs = np.zeros(len(batch.left))
-    for kind, shard, which, _ in batch.questions(shards):
+    for kind, shard, which in batch.questions(shards):
         raw = zlib.decompress(counts[replies[kind, shard]].as_py())
         if kind == "w":
             words[which] = np.frombuffer(raw, "<u8").astype(np.int64)
@@ -286,9 +333,9 @@ def score_documents(docs: DataFrame, strength: float = STRENGTH) -> DataFrame:
         for number, batch in _batches(parts):
             taught = dict(zip("wp", batch.taught(), strict=True))
             rows = [
-                (shard, number, kind, batch.sum, EliasFano.of(keys).to_bytes(),
+                (shard, number, kind, batch.sum, batch.keys(kind, which),
                  _squeeze(taught[kind][which].astype("<u4")))
-                for kind, shard, which, keys in batch.questions(shards)
+                for kind, shard, which in batch.questions(shards)
             ]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), ROW, strict=True)],

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from tailwake.llm import lm
 from tailwake.llm.eliasfano import EliasFano, Trie
@@ -109,6 +110,28 @@ def test_batches_survive_their_bytes():
         assert (getattr(again, name) == getattr(batch, name)).all()
 
 
+def test_words_that_share_hash_bits_are_apart(spark):
+    # Same upper 24 bits, and the same bits that spread a context's followers over shards.
+    seen, found = {}, []
+    for i in range(60_000):
+        word = f"w{i}"
+        value = xxhash.xxh64_intdigest(word.encode())
+        found.append((seen.setdefault((value >> 40, value >> 16 & 7), word), word))
+    twins = [pair for pair in found if pair[0] != pair[1]]
+    assert twins
+    taught, asked = twins[0]
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    rows = [(i, f"x {taught}") for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2]
+    rows += [(held, f"x {asked}")]
+    agree(lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect(), brute(rows))
+
+
+def test_pairs_survive_their_bytes():
+    batch = lm.Batch.of([(1, False, [b"a", b"b", b"a", b"c"]), (2, True, []), (3, False, [b"b"])])
+    lefts, rights, left, right = lm.unpack_pairs(lm.pack_pairs(batch.names, batch.left, batch.right))
+    assert (lefts[left] == batch.names[batch.left]).all() and (rights[right] == batch.names[batch.right]).all()
+
+
 def test_odd_rows(odd_documents):
     rows = [(r["doc_id"], r["text"]) for r in odd_documents.collect()]
     agree(lm.score_documents(odd_documents).collect(), brute(rows))

@@ -7,8 +7,12 @@ they find is worked on in arrays of the same row.
 * The method adds runs of at least WINDOW characters of the base64 alphabet. A window slides over
   each run; the number of times each character occurs in it is kept up to date by adding the
   character that enters and taking away the one that leaves, and so is the sum of c * log2(c), from
-  which the window's Shannon entropy follows. A run whose best window reaches the limit of its
-  character class is a secret, unless it overlaps a base span or the allow list names it.
+  which the window's Shannon entropy follows. Each window has the class of its own characters, so a
+  key keeps its class beside a prefix. A run with a window that reaches the limit of its class is a
+  secret of the widest such class, unless it overlaps a base span.
+* The allow list takes out what it matches: a whole run, the words of a run that hold a listed
+  string, or the folder that a path begins with; no window lies across that. In a path the words
+  between the separators (/ _ -) are judged each by itself.
 
 Defined cases: a null text counts as empty; an empty text has no spans, and its digest is that of
 the empty string. Positions are code points, ends exclusive. Rows that repeat are scanned each.
@@ -37,14 +41,16 @@ KINDS = (*BASE_KINDS, *LIMITS)
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 RUN = rf"[A-Za-z0-9+/_-]{{{WINDOW},}}={{0,2}}"
 #: Strings that look random and are known to be harmless.
-ALLOW = (
-    "(?i)example|sample|placeholder|dummy|changeme",
-    "(?i)0123456789|abcdefghijklm",
+ALLOW_PARTS = ("(?i)example|sample|placeholder|dummy|changeme", "(?i)0123456789|abcdefghijklm")
+ALLOW_RUNS = (
     "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     "^[a-z]+([-_/][a-z]+)+$",
-    "^/?(usr|etc|var|home|opt|tmp)/",
     "^(da39a3ee5e6b4b0d3255bfef95601890afd80709|d41d8cd98f00b204e9800998ecf8427e)$",
 )
+ALLOW_PATH = "^/?(usr|etc|var|home|opt|tmp)/"
+ALLOW = (*ALLOW_PARTS, *ALLOW_RUNS, ALLOW_PATH)
+#: Stands for what the allow list takes out of a run.
+BREAK = "."
 
 _SPAN = "struct<start:bigint,rank:int,stop:bigint>"
 _STEP = "struct<gap:bigint,size:bigint>"
@@ -101,12 +107,38 @@ def _placed(text: Column, pattern: str, hits: Column, rank: int) -> Column:
     )
 
 
-def best_entropy(run: Column) -> Column:
-    """The highest Shannon entropy, in bits, of any window of WINDOW characters of ``run``."""
+def _any(patterns: tuple[str, ...]) -> str:
+    return "|".join(f"(?:{p})" for p in patterns)
+
+
+def _without_allowed(run: Column) -> Column:
+    """``run`` with BREAK in place of what the allow list matches in it."""
+    path, listed = run.rlike(ALLOW_PATH), run.rlike(_any(ALLOW_PARTS))
+    words = F.regexp_replace(F.regexp_replace(run, ALLOW_PATH, BREAK), "[/_-]", BREAK)
+    parts = F.transform(
+        F.split(F.when(path, words).otherwise(run), "(?=[/_.-])", -1),
+        lambda p: F.when(p.rlike(_any(ALLOW_PARTS)), BREAK).otherwise(p),
+    )
+    return F.when(path | listed, F.array_join(parts, "")).otherwise(run)
+
+
+def window_rank(run: Column) -> Column:
+    """The highest rank in KINDS of the windows of WINDOW characters of ``run`` whose Shannon entropy
+    reaches the limit of their class; -1 if there is none."""
     weigh = F.array(*[F.lit(c * log2(c) if c else 0.0) for c in range(WINDOW + 2)])
+    alphabet = ALPHABET + BREAK
     chars = F.transform(
-        F.regexp_extract_all(run, F.lit("."), 0), lambda c: F.instr(F.lit(ALPHABET), c)
+        F.regexp_extract_all(run, F.lit("."), 0), lambda c: F.instr(F.lit(alphabet), c)
     )
+    # A window is of a class if the last character outside of it lies before the window.
+    classes = {
+        "lower_hex": "0123456789abcdef",
+        "upper_hex": "0123456789ABCDEF",
+        "lower": "0123456789abcdefghijklmnopqrstuvwxyz",
+        "upper": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+        "any": ALPHABET,
+    }
+    members = {name: F.array(*[F.lit(c in held) for c in alphabet]) for name, held in classes.items()}
 
     def slide(state: Column, at: Column) -> Column:
         enters = F.element_at(state.chars, at)
@@ -128,31 +160,40 @@ def best_entropy(run: Column) -> Column:
             + F.when(i == enters, 1).otherwise(0)
             - F.when((i == leaves) & (leaves > 0), 1).otherwise(0),
         )
-        best = F.when(
-            at >= WINDOW, F.greatest(state.best, F.lit(log2(WINDOW)) - total / WINDOW)
-        ).otherwise(state.best)
+        outside = {
+            name: F.when(F.element_at(held, enters), state[name]).otherwise(at)
+            for name, held in members.items()
+        }
+
+        def within(name: str) -> Column:
+            return outside[name] <= at - WINDOW
+
+        bits = F.lit(log2(WINDOW)) - total / WINDOW
+        hex_, alnum, mixed = (
+            F.when(bits >= limit, KINDS.index(kind)).otherwise(-1) for kind, limit in LIMITS.items()
+        )
+        rank = (
+            F.when(~within("any"), -1)
+            .when(within("lower_hex") | within("upper_hex"), hex_)
+            .when(within("lower") | within("upper"), alnum)
+            .otherwise(mixed)
+        )
         return F.struct(
             state.chars.alias("chars"),
             counts.alias("counts"),
             total.alias("total"),
-            best.alias("best"),
+            *[last.alias(name) for name, last in outside.items()],
+            F.greatest(state["rank"], rank).alias("rank"),
         )
 
     start = F.struct(
         chars.alias("chars"),
-        F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("counts"),
+        F.array_repeat(F.lit(0), len(alphabet) + 1).alias("counts"),
         F.lit(0.0).alias("total"),
-        F.lit(0.0).alias("best"),
-    )
-    return F.aggregate(F.sequence(F.lit(1), F.length(run)), start, slide, lambda s: s.best)
-
-
-def _class_rank(run: Column) -> Column:
-    return (
-        F.when(run.rlike("^([0-9a-f]+|[0-9A-F]+)$"), KINDS.index("entropy_hex"))
-        .when(run.rlike("^([0-9a-z]+|[0-9A-Z]+)$"), KINDS.index("entropy_alnum"))
-        .otherwise(KINDS.index("entropy_mixed"))
+        *[F.lit(0).alias(name) for name in classes],
+        F.lit(-1).alias("rank"),
     )
+    return F.aggregate(F.sequence(F.lit(1), F.length(run)), start, slide, lambda s: s["rank"])
 
 
 def _listed(spans: Column) -> Column:
@@ -210,7 +251,7 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     candidates = F.filter(
         F.arrays_zip(F.col("p3").alias("span"), F.col("m3").alias("run")),
-        lambda c: ~c.run.rlike("|".join(f"(?:{a})" for a in ALLOW))
+        lambda c: ~c.run.rlike(_any(ALLOW_RUNS))
         & ~F.exists(
             F.col("base"), lambda s: (s.start < c.span.stop) & (c.span.start < s.stop)
         ),
@@ -218,17 +259,12 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     ranked = F.transform(
         candidates,
         lambda c: F.struct(
-            c.span.start.alias("start"), _class_rank(c.run).alias("rank"), c.span.stop.alias("stop"),
-            best_entropy(c.run).alias("bits"),
-        ),
-    )
-    limits = F.array(*[F.lit(x) for x in LIMITS.values()])
-    added = F.transform(
-        F.filter(
-            ranked, lambda c: c.bits >= F.element_at(limits, c["rank"] + (1 - len(BASE_KINDS)))
+            c.span.start.alias("start"),
+            window_rank(_without_allowed(c.run)).alias("rank"),
+            c.span.stop.alias("stop"),
         ),
-        lambda c: F.struct(c.start.alias("start"), c["rank"].alias("rank"), c.stop.alias("stop")),
     )
+    added = F.filter(ranked, lambda c: c["rank"] >= 0)
     empty = F.array().cast(f"array<{_SPAN}>")
     return found.select(
         "row",

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter
 from math import log2
@@ -77,6 +78,22 @@ def test_spans_match_brute_force(scanned):
     assert "entropy_mixed" in found[7][4] and "entropy_hex" in found[7][4]
 
 
+def test_windows_keep_their_class(spark):
+    rng = random.Random(5)
+    upper_hex = ["".join(rng.choices("0123456789ABCDEF", k=32)) for _ in range(40)]
+    base32 = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=20)) for _ in range(40)]
+    keys = [f"AUTH-{k}" for k in upper_hex] + [f"AUTH{k}" for k in upper_hex]
+    keys += [f"/home/alice/{k}" for k in upper_hex] + [f"sk-example-{k}/x" for k in upper_hex]
+    keys += [f"AUTH_{k}" for k in base32 if entropy(k) >= secrets.LIMITS["entropy_alnum"]]
+    clean = ["/usr/lib/python3/dist-packages/Foo_Bar-Baz9", "one-long-line/of-plain_words", "my-sample-Q7"]
+    clean += ["EXAMPLE" + upper_hex[0], "aa-" + "ABAB" * 8]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(keys + clean)], "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in secrets.digest(secrets.scan_secrets(rows)).collect()}
+    for i, text in enumerate(keys):
+        assert found[i].endswith(f":0:{len(text)}"), text
+    assert [found[len(keys) + i] for i in range(len(clean))] == [""] * len(clean)
+
+
 def test_redaction_leaves_no_span(scanned):
     texts = [r[0] for r in scanned.select(secrets.redact(scanned)).collect()]
     assert texts[:2] == ["", ""]

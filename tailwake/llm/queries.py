@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tailwake.llm import chat, lm, packing, pieces, quality, secrets, simhash, topk, toxicity, urls
+from tailwake.llm import chat, lm, packing, pieces, quality, secrets, simhash, spelling, topk, toxicity, urls
 from tailwake.llm.common import documents, ship
 
 
@@ -55,6 +55,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.judge_documents(documents(spark, sf_dir)))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.digest(spelling.variants(documents(spark, sf_dir)))
+
+
 _QUERIES = (
     op1_secret_scans,
     op2_simhash_near_dedup,
@@ -66,6 +70,7 @@ _QUERIES = (
     op8_lm_scoring,
     op9_exact_top_k_search,
     op10_quality_rules,
+    op11_spelling_variants,
 )
 
 
@@ -186,9 +191,71 @@ FROM counted
 """
 
 
+# The named runs are hashed byte by byte with a crc32 table made by its rule; two words are near if
+# they are equal once the same place is left out of both, or any place out of the longer one.
+OP11_SQL = r"""
+WITH RECURSIVE steps(i, c, k) AS (
+  SELECT i, i, 0 FROM range(256) AS t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1
+  FROM steps WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS entries FROM steps WHERE k = 8
+), runs AS (
+  SELECT name, run, count(*) AS n
+  FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS name,
+          unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+        FROM documents)
+  GROUP BY name, run
+), bytes AS (
+  SELECT *, flatten(list_transform(string_split(name || ':' || run, ''), lambda s:
+      CASE WHEN unicode(s) < 128 THEN [CAST(unicode(s) AS BIGINT)]
+           ELSE [CAST(195 AS BIGINT), unicode(s) - 64] END)) AS code
+  FROM runs
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), code), lambda c, b:
+      xor(c >> 8, entries[(xor(c, b) & 255) + 1]))) AS h
+  FROM bytes, crc
+), vocabulary AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 97 = 0
+          THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+        FROM hashed)
+  GROUP BY word HAVING sum(n) >= 3 AND length(word) >= 5
+), gaps AS (
+  SELECT word, n, i, length(word) AS l, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)
+), longer AS (
+  SELECT DISTINCT g.word AS word, g.n AS n, v.word AS shorter, v.n AS shorter_n
+  FROM gaps g JOIN vocabulary v ON g.rest = v.word
+), near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n
+  FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.l = b.l AND a.word <> b.word
+  UNION ALL SELECT word, shorter, shorter_n FROM longer
+  UNION ALL SELECT shorter, word, n FROM longer
+), best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS best_n,
+         min(near) FILTER (near_n = most) AS best
+  FROM (SELECT *, max(near_n) OVER (PARTITION BY word) AS most FROM near) GROUP BY word
+), forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN best_n >= 2 * n THEN best END AS form, CASE WHEN best_n >= 2 * n THEN best_n END AS form_n
+  FROM vocabulary LEFT JOIN best USING (word)
+), walk(word, place) AS (
+  SELECT word, word FROM forms
+  UNION ALL
+  SELECT w.word, f.form FROM walk w JOIN forms f ON w.place = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, w.place AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN walk w ON f.word = w.word JOIN forms last ON last.word = w.place AND last.form IS NULL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_url_filters": OP5_SQL,
         "op9_exact_top_k_search": OP9_SQL,
         "op10_quality_rules": OP10_SQL,
+        "op11_spelling_variants": OP11_SQL,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tailwake.llm import chat, lm, packing, pieces, quality, secrets, simhash, spelling, topk, toxicity, urls
+from tailwake.llm import chat, lm, packing, pieces, pii, quality, secrets, simhash, spelling, topk, toxicity, urls
 from tailwake.llm.common import documents, ship
 
 
@@ -59,6 +59,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.digest(spelling.variants(documents(spark, sf_dir)))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(documents(spark, sf_dir)))
+
+
 _QUERIES = (
     op1_secret_scans,
     op2_simhash_near_dedup,
@@ -71,6 +75,7 @@ _QUERIES = (
     op9_exact_top_k_search,
     op10_quality_rules,
     op11_spelling_variants,
+    op12_pii,
 )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tailwake.llm import chat, lm, packing, pieces, pii, quality, secrets, simhash, spelling, topk, toxicity, urls
+from tailwake.llm import chat, lexical, lm, packing, pieces, pii, quality, secrets, simhash, spelling, topk, toxicity, urls
 from tailwake.llm.common import documents, ship
 
 
@@ -63,6 +63,10 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(documents(spark, sf_dir)))
 
 
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 _QUERIES = (
     op1_secret_scans,
     op2_simhash_near_dedup,
@@ -76,6 +80,7 @@ _QUERIES = (
     op10_quality_rules,
     op11_spelling_variants,
     op12_pii,
+    op13_ranked_lexical_search,
 )
 
 
@@ -257,10 +262,47 @@ FROM forms f JOIN walk w ON f.word = w.word JOIN forms last ON last.word = w.pla
 """
 
 
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS size FROM docs WHERE len(terms) > 0
+), tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, totals GROUP BY term
+), items AS (
+  SELECT row_number() OVER () AS i, item_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), asked AS (
+  SELECT i, item_id, term, count(*) AS times
+  FROM (SELECT i, item_id, unnest(terms) AS term FROM items) GROUP BY i, item_id, term
+), sized AS (
+  SELECT r, doc_id, 100 - 75 + (75 * len(terms) * t.docs) // t.size AS m FROM docs, totals t
+), scored AS (
+  SELECT i, item_id, s.r, s.doc_id,
+    CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN sized s ON tf.r = s.r
+  GROUP BY i, item_id, s.r, s.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST) AS place
+  FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_url_filters": OP5_SQL,
         "op9_exact_top_k_search": OP9_SQL,
         "op10_quality_rules": OP10_SQL,
         "op11_spelling_variants": OP11_SQL,
+        "op13_ranked_lexical_search": OP13_SQL,
     }

@@ -5,19 +5,19 @@ space collapsed). For each host and line the distinct documents are counted; a l
 ``line_limit`` of them is removed, and a document that keeps less than ``min_left`` of its words is
 depleted and rejected, as is one that fails the base rules.
 
-Copies are not distinct documents. A document of which at least half the words lie in lines that more
-than ``line_limit`` documents hold may be one of a family of copies; it is then named by the smallest
-hash of its other such lines, which near copies share, instead of by itself. So a line counts the
-different documents around it, and a text copied a thousand times is left to near-duplicate removal.
+Documents are distinct if their normalised texts differ: whole copies count as one, so a text copied a
+thousand times is left to near-duplicate removal. Documents that differ anywhere each count, however
+much of a template they share, so a page that is little more than its host's template is depleted.
 
-Shuffles: line hashes are counted by (host, line, document) first, so a line in a third of all
-documents is folded before its count meets in one task; the joins on (host, line) see one row per
-document of a frequent line and are plain equality joins, which adaptive execution splits. Texts are
-read once and not shuffled.
+Shuffles: line hashes are folded by (host, line, document) and counted from there, so a line in a third
+of all documents is folded before its count meets in one task. The frequent lines are written, so the
+join of lines with them is one of two plain sides: broadcast where they are few, and split by adaptive
+execution where a line is hot. What is removed is gathered by a number that each row got when it was
+measured, so repeated rows do not meet. Texts are read once and not shuffled.
 
 Defined cases: a null text has no word and fails the base rules, as does an empty one. A null host
-counts as the empty host. Repeated rows (same id and text) count as one document and each get the
-result. An empty table gives an empty result. Other columns are ignored.
+counts as the empty host. Repeated rows count as one document and each get the result. An empty table
+gives an empty result. Very long texts are measured whole, one at a time. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,17 +35,17 @@ from tailwake.sources.workspace import materialize
 
 LINE_LIMIT = 10
 MIN_LEFT = 0.2
-FAMILY_SHARE = 0.5
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\v\f\r"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 LINE = pa.list_(pa.struct([("hash", pa.string()), ("words", pa.int64())]))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+PASSED = ("number", "doc_id", "key", "host")
 SCHEMA = pa.schema(
-    [("doc_id", pa.int64()), ("key", pa.string()), ("host", pa.string())]
+    [("number", pa.int64()), ("doc_id", pa.int64()), ("key", pa.string()), ("host", pa.string())]
     + [(c, pa.int64()) for c in COUNTS]
-    + [("lines", LINE)]
+    + [("content", pa.string()), ("lines", LINE)]
 )
 
 
@@ -67,16 +67,18 @@ def repeat_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def measure_text(text: str | None) -> tuple[list[int], list[dict]]:
+def measure_text(text: str | None) -> tuple[list[int], str, list[dict]]:
+    """Counts, hash of the normalised text, and hash and words of its distinct lines."""
     text = text or ""
     words = text.encode().split()
-    seen, repeated, lines = set(), 0, {}
+    seen, repeated, lines, content = set(), 0, {}, md5()
     for line in text.split("\n"):
         normal = b" ".join(line.encode().lower().split())
         if not normal:
             continue
         repeated += line in seen
         seen.add(line)
+        content.update(normal + b"\n")
         count = normal.count(b" ") + 1
         lines[normal] = lines.get(normal, 0) + count
     counts = [
@@ -86,26 +88,29 @@ def measure_text(text: str | None) -> tuple[list[int], list[dict]]:
         repeated,
         repeat_words(words),
     ]
-    return counts, [{"hash": md5(k).hexdigest()[:16], "words": n} for k, n in lines.items()]
+    return counts, content.hexdigest(), [{"hash": md5(k).hexdigest()[:16], "words": n} for k, n in lines.items()]
 
 
 def measure(docs: DataFrame, host: str = "source") -> DataFrame:
-    """Counts and line hashes of each row, with a key that names the row by its content."""
+    """Counts and line hashes of each row, with a number of its own, a key that names it by what it
+    holds, and the hash of its normalised text. To be written before it is used twice."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             found = [measure_text(t.as_py()) for t in part.column("text")]
-            counts = np.array([c for c, _ in found], np.int64).reshape(-1, len(COUNTS))
+            counts = np.array([c for c, _, _ in found], np.int64).reshape(-1, len(COUNTS))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(part.column(c) for c in ("doc_id", "key", "host")),
+                    *(part.column(c) for c in PASSED),
                     *(pa.array(counts[:, i]) for i in range(len(COUNTS))),
-                    pa.array([lines for _, lines in found], LINE),
+                    pa.array([content for _, content, _ in found], pa.string()),
+                    pa.array([lines for _, _, lines in found], LINE),
                 ],
                 schema=SCHEMA,
             )
 
     chosen = docs.select(
+        F.monotonically_increasing_id().alias("number"),
         F.col("doc_id").cast("long").alias("doc_id"),
         row_key(F.col("doc_id"), F.col("text")).alias("key"),
         F.coalesce(F.col(host), F.lit("")).alias("host"),
@@ -113,48 +118,27 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     )
     counts = ", ".join(f"{c} long" for c in COUNTS)
     return chosen.mapInArrow(
-        run, f"doc_id long, key string, host string, {counts}, lines array<struct<hash:string,words:long>>"
+        run,
+        f"number long, doc_id long, key string, host string, {counts}, content string, "
+        "lines array<struct<hash:string,words:long>>",
     )
 
 
+def frequent_lines(measured: DataFrame, line_limit: int = LINE_LIMIT) -> DataFrame:
+    """(host, hash) of the lines that more than ``line_limit`` distinct documents of a host hold."""
+    lines = measured.select("host", F.explode("lines.hash").alias("hash"), "content").distinct()
+    return lines.groupBy("host", "hash").count().where(F.col("count") > line_limit).select("host", "hash")
+
+
 def removed_lines(measured: DataFrame, line_limit: int = LINE_LIMIT) -> DataFrame:
-    """For each document with lines above the limit: key, ``removed`` hashes, ``removed_words``."""
-    line = ["host", "hash"]
-    lines = (
-        measured.select("key", "host", "n_words", F.explode("lines").alias("line"))
-        .select("key", "host", "n_words", "line.hash", "line.words")
-        .distinct()
-    )
-    common = lines.groupBy(*line).count().where(F.col("count") > line_limit).select(*line)
-    # Written first, so that the join shuffles both sides and adaptive execution can split them.
-    common = materialize(common, "common")
-    shared = materialize(lines.join(common, line), "lines")
-    family = shared.groupBy("key", "host").agg(
-        F.sum("words").alias("shared_words"),
-        F.array_sort(F.collect_list("hash")).alias("hashes"),  # a document's own lines
-        F.max("n_words").alias("n_words"),
-    )
-    family = family.where(F.col("shared_words") >= FAMILY_SHARE * F.col("n_words")).select(
-        "key", "host", F.get("hashes", F.lit(0)).alias("low"), F.get("hashes", F.lit(1)).alias("next")
-    )
-    name = F.when(F.col("low").isNull(), F.col("key")).otherwise(
-        F.when(F.col("hash") != F.col("low"), F.col("low")).otherwise(
-            F.coalesce("next", F.lit(""))
-        )
-    )
-    frequent = (
-        shared.join(family, ["key", "host"], "left")
-        .select(*line, name.alias("name"))
-        .distinct()
-        .groupBy(*line)
-        .count()
-        .where(F.col("count") > line_limit)
-        .select(*line)
+    """For each row with lines above the limit: number, ``removed`` hashes, ``removed_words``."""
+    frequent = materialize(frequent_lines(measured, line_limit), "frequent")
+    lines = measured.select("number", "host", F.explode("lines").alias("line")).select(
+        "number", "host", "line.hash", "line.words"
     )
-    frequent = materialize(frequent, "frequent")
     return (
-        shared.join(frequent, line)
-        .groupBy("key", "host")
+        lines.join(frequent, ["host", "hash"])
+        .groupBy("number")
         .agg(F.collect_list("hash").alias("removed"), F.sum("words").alias("removed_words"))
     )
 
@@ -170,7 +154,7 @@ def judge_documents(
     number of words of its removed lines."""
     measured = materialize(measure(docs, host), "measured")
     removed = removed_lines(measured, line_limit)
-    joined = measured.join(removed, ["key", "host"], "left")
+    joined = measured.join(removed, "number", "left")
     words = F.coalesce("removed_words", F.lit(0))
     failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
     depleted = F.col("n_words") - words < F.lit(min_left) * F.col("n_words")

@@ -138,8 +138,6 @@ OP10_SQL = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS row_id, doc_id, coalesce(source, '') AS host,
          coalesce(text, '') AS text,
-         md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || CASE WHEN text IS NULL THEN '-' ELSE '+' END
-             || coalesce(text, '')) AS key,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ), starts AS (
@@ -155,7 +153,9 @@ WITH docs AS (
   SELECT row_id, count(DISTINCT i + d) AS n_repeat_words
   FROM repeated, (VALUES (0), (1), (2)) AS shifts(d) GROUP BY row_id
 ), all_lines AS (
-  SELECT row_id, key, host, len(w) AS n_words, unnest(string_split(text, chr(10))) AS line FROM docs
+  SELECT row_id, host, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS place
+  FROM docs
 ), lines AS (
   SELECT *, trim(regexp_replace(
     translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -164,25 +164,17 @@ WITH docs AS (
 ), dup_lines AS (
   SELECT row_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY row_id
 ), doc_lines AS (
-  SELECT key, host, any_value(n_words) AS n_words, left(md5(normal), 16) AS hash,
-         sum(len(string_split(normal, ' '))) / count(DISTINCT row_id) AS words
-  FROM lines GROUP BY key, host, normal
-), shared AS (
-  SELECT *, count(*) OVER (PARTITION BY host, hash) AS documents FROM doc_lines
-  QUALIFY documents > 10
-), family AS (
-  SELECT key, host, list_sort(list(hash)) AS hashes FROM shared
-  GROUP BY key, host HAVING sum(words) >= 0.5 * any_value(n_words)
-), named AS (
-  SELECT s.host, s.hash,
-    CASE WHEN f.key IS NULL THEN s.key WHEN s.hash <> f.hashes[1] THEN f.hashes[1]
-         ELSE coalesce(f.hashes[2], '') END AS name
-  FROM shared s LEFT JOIN family f ON s.key = f.key AND s.host = f.host
+  SELECT row_id, host, left(md5(normal), 16) AS hash,
+         sum(len(string_split(normal, ' '))) AS words
+  FROM lines GROUP BY row_id, host, normal
+), contents AS (
+  SELECT row_id, string_agg(normal, chr(10) ORDER BY place) AS content FROM lines GROUP BY row_id
 ), frequent AS (
-  SELECT host, hash FROM named GROUP BY host, hash HAVING count(DISTINCT name) > 10
+  SELECT host, hash FROM doc_lines JOIN contents USING (row_id)
+  GROUP BY host, hash HAVING count(DISTINCT content) > 10
 ), removed AS (
-  SELECT key, host, sum(words) AS removed_words FROM shared JOIN frequent USING (host, hash)
-  GROUP BY key, host
+  SELECT row_id, sum(words) AS removed_words FROM doc_lines JOIN frequent USING (host, hash)
+  GROUP BY row_id
 ), counted AS (
   SELECT d.row_id, doc_id, len(w) AS n_words,
     length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
@@ -190,7 +182,7 @@ WITH docs AS (
     coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
     CAST(coalesce(removed_words, 0) AS BIGINT) AS removed_words
   FROM docs d LEFT JOIN dup_lines USING (row_id) LEFT JOIN repeat_words USING (row_id)
-    LEFT JOIN removed r ON d.key = r.key AND d.host = r.host
+    LEFT JOIN removed USING (row_id)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,

@@ -245,8 +245,9 @@ def links(bits: DataFrame, max_bits: int = MAX_BITS, node_size: int = NODE_SIZE)
 
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the smallest node that links (a, b) reach from it, for every node that
-    occurs in a link. Rounds of large-star and small-star; hot nodes are handled by grouped minima
-    and joins that adaptive execution splits."""
+    occurs in a link. Rounds of large-star and small-star. The minimum of each node is folded before it
+    meets in one task, and written before the links are joined with it: both sides of the join are then
+    plain shuffles, and adaptive execution splits a node that many links share."""
 
     def stars(pairs: DataFrame, larger: bool) -> DataFrame:
         both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -255,7 +256,7 @@ def components(edges: DataFrame) -> DataFrame:
         if not larger:
             ends = ends.where("v < u")
         low = ends.groupBy("u").agg(F.min("v").alias("low"))
-        low = low.withColumn("low", F.least("u", "low"))
+        low = materialize(low.withColumn("low", F.least("u", "low")), "low")
         joined = ends.join(low, "u")
         if larger:
             moved = joined.where("v > u").select(F.col("v").alias("a"), F.col("low").alias("b"))
@@ -294,7 +295,8 @@ def near_duplicates(
     rooted = smallest.join(roots, smallest.bits == roots.node, "left").select(
         "bits", F.coalesce("root", "bits").alias("root"), "doc_id"
     )
-    lowest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Written, as in ``components``, so that a root with many fingerprints can be split.
+    lowest = materialize(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "lowest")
     named = rooted.join(lowest, "root").select("bits", "root", "component_id")
     return found.join(named, "bits").select("doc_id", "key", "bits", "root", "component_id")
 

@@ -70,22 +70,27 @@ def tokens(text: str | None) -> np.ndarray:
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (start, stop, score), by a scan over the positive scores."""
+    """All maximal scoring segments (start, stop, score), by a scan over the positive scores.
+
+    Each segment remembers the last one before it that starts from a lower sum. Those in between start
+    no lower than it does, so a search goes from link to link and no link is followed twice: the time is
+    linear in the positive scores."""
     total = np.cumsum(scores, dtype=np.float64)
-    kept: list[tuple[int, int, float, float]] = []  # start, stop, sum before, sum through
+    kept: list[tuple[int, int, float, float, int]] = []  # start, stop, sum before, sum through, link
     for at in np.flatnonzero(scores > 0).tolist():
         start, through = at, float(total[at])
         before = float(total[at - 1]) if at else 0.0
+        j = len(kept) - 1
         while True:
-            j = len(kept) - 1
             while j >= 0 and kept[j][2] >= before:
-                j -= 1
+                j = kept[j][4]
             if j < 0 or kept[j][3] >= through:
-                kept.append((start, at + 1, before, through))
+                kept.append((start, at + 1, before, through, j))
                 break
-            start, _, before, _ = kept[j]
+            start, _, before, _, link = kept[j]
             del kept[j:]
-    return [(a, b, through - before) for a, b, before, through in kept]
+            j = link
+    return [(a, b, through - before) for a, b, before, through, _ in kept]
 
 
 def judge(text: str | None, model: Model) -> tuple[float, list[dict]]:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -37,6 +38,23 @@ def test_segments_match_definition():
         assert np.allclose([s for *_, s in found], [s for *_, s in want])
 
 
+@pytest.mark.parametrize("shape", ["falling", "rising", "level", "random"])
+def test_segments_take_linear_time(shape):
+    """Isolated positives on a sum that falls, rises or neither."""
+
+    def seconds(n):
+        gap = {"falling": -3.0, "rising": -0.5, "level": -1.0}
+        scores = np.ones(2 * n)
+        scores[1::2] = gap.get(shape, 0)
+        if shape == "random":
+            scores[1::2] = np.random.default_rng(1).normal(-1, 1, n)
+        start = time.perf_counter()
+        toxicity.segments(scores)
+        return time.perf_counter() - start
+
+    assert seconds(400_000) < 40 * seconds(20_000) + 0.5
+
+
 def test_chance_decay_solves_its_equation():
     scores = np.array([2.0, -0.3, -0.3])
     toxic, clean = np.array([5.0, 100, 100]), np.array([1.0, 5000, 5000])

@@ -7,15 +7,13 @@ above the limit and secrets go from the text (with n_chars brought up to date).
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tailwake.llm import packing, quality, secrets, simhash, toxicity
 from tailwake.llm.common import documents, row_key, ship
-from tailwake.sources.workspace import shared_root
+from tailwake.sources.workspace import materialize, new_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -40,12 +38,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that pass the quality rules, without the lines above the limit."""
     ship(spark)
     docs = _columns(docs)
-    kept = (
-        quality.judge_documents(docs)
-        .where("kept")
-        .select("key", "host", "removed")
-        .dropDuplicates(["key", "host"])
-    )
+    judged = quality.judge_documents(docs).where("kept").select("key", "host", "removed")
+    # Written, so that the join has two plain sides and rows that repeat many times can be split.
+    kept = materialize(judged.dropDuplicates(["key", "host"]), "kept")
     named = docs.withColumn("key", row_key(F.col("doc_id"), F.col("text"))).withColumn(
         "host", F.coalesce("source", F.lit(""))
     )
@@ -69,8 +64,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = simhash.near_duplicates(docs, key=F.col("key"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     stays = groups.groupBy("root").agg(F.min(order).alias("first")).select("first.key")
-    # Rows that repeat id and text are one document too.
-    return docs.join(stays, "key", "left_semi").dropDuplicates(["key"]).select(*COLUMNS)
+    # Rows that repeat id and text are one document too: the one with the smallest other columns.
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    row = F.struct(*[F.struct(F.col(c).isNull(), c).alias(c) for c in rest], "doc_id", "text")
+    first = docs.join(stays, "key", "left_semi").groupBy("key").agg(F.min(row).alias("row"))
+    return first.select("row.doc_id", "row.text", *[F.col("row")[c][c].alias(c) for c in rest]).select(*COLUMNS)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -102,7 +100,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage but the last is written to the shared folder."""
     sf_dir = str(sf_dir)
-    folder = f"{shared_root(spark)}/corpus-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "corpus")
     docs = documents(spark, sf_dir)
     for place, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

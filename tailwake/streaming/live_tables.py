@@ -1,25 +1,21 @@
 """Keyed tables kept up to date by micro-batches: live state, rotations, alerts, statistics.
 
-Each batch writes its tables to a folder of its own, which never changes afterwards, and then
-publishes it by one small pointer file, written under another name and renamed. Readers take the
-newest pointer, so they see all tables of one batch or of the one before, never half of one. Pointers
-are numbered in the order of publication, not by batch, so a query that starts over with a fresh
-checkpoint goes on from the newest state. A batch that is replayed after it was published starts from
-the same state and clock as the first time and gives the same tables. Folders stay for
-``KEPT_BATCHES`` further batches, for slow readers, and are then removed.
-
-A snapshot holds only what is within its retention, not history; the merge is one grouped maximum of
-old and new rows. Statistics keep the newest ``STATS_BATCHES`` batches.
+Each batch folds its rows to one per key and appends them as a run (``sources.runs``); readers fold the
+runs again, newest record per key. So a batch writes what it brought, whatever the tables hold: the
+rotations of 24 hours are not read or written when ten seconds of reports arrive. Runs are merged
+within their hour and once when the hour has passed; expired ones are dropped whole.
+
+A row expires ``ttl_s`` after it was seen, by the clock of its batch. A late report does not displace a
+newer one, but outlives it if it was seen later; merging keeps such rows, so what readers see does not
+depend on when runs are merged.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tailwake import constants as K
@@ -28,45 +24,51 @@ from tailwake.operators.latest import latest_per_key
 from tailwake.operators.rotation import rotation_index
 from tailwake.operators.summaries import batch_stats
 from tailwake.plans.live import live_columns
-from tailwake.sources import files
+from tailwake.sources.runs import Pointer, Run, RunStore
 
 BATCH, SEEN, PLACE = "batch_id", "seen_at", "place"
-KEPT_BATCHES = 5
 STATS_BATCHES = 1000
+HOUR_S = 3600
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """``ttl_s`` counts from when a key was last written (``seen_at``); ``None`` keeps all."""
+    """Rows by key, the newest by ``order``. A row's mark is in column ``seen_at``; ``ttl`` counts in
+    marks from there, ``None`` keeps all. ``period`` is how many marks are merged into one run."""
 
     name: str
     key: str
     order: Sequence[str]
-    ttl_s: int | None
+    ttl: int | None
+    period: int = HOUR_S
 
-    def merged(self, rows: DataFrame, previous: DataFrame | None, clock: Column) -> DataFrame:
-        fresh = rows.withColumn(SEEN, clock)
-        if previous is not None:
-            fresh = fresh.unionByName(previous)
-        if self.ttl_s is not None:
-            fresh = fresh.filter(F.col(SEEN) > clock - self.ttl_s)
-        return latest_per_key(fresh, self.key, *self.order, SEEN)
+    def fresh(self, rows: DataFrame, mark: int) -> DataFrame:
+        """Rows of one batch, folded to one per key."""
+        return latest_per_key(rows.withColumn(SEEN, F.lit(mark).cast("bigint")), self.key, *self.order)
 
+    def expired(self, mark: int, now: int) -> bool:
+        return self.ttl is not None and mark <= now - self.ttl
 
-def processing_clock() -> Column:
-    return F.unix_seconds(F.current_timestamp())
+    def unexpired(self, rows: DataFrame, now: int) -> DataFrame:
+        return rows if self.ttl is None else rows.filter(F.col(SEEN) > now - self.ttl)
 
+    def lasting(self, rows: DataFrame) -> DataFrame:
+        """Rows that are or will be the newest unexpired one of their key: those seen later than every
+        newer one. A key has at most one row for each run that is merged."""
+        rest = [c for c in rows.columns if c not in (self.key, SEEN, *self.order)]
+        order = [F.col(c).desc() for c in (*self.order, SEEN, *rest)]
+        newer = Window.partitionBy(self.key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        seen = F.max(SEEN).over(newer)
+        return rows.withColumn("newer", seen).filter(
+            F.col("newer").isNull() | (F.col(SEEN) > F.col("newer"))
+        ).drop("newer")
 
-@dataclass(frozen=True)
-class Published:
-    """What a pointer says: the folder of a batch, the one it started from, and its clock."""
+    def current(self, rows: DataFrame, now: int) -> DataFrame:
+        return latest_per_key(self.unexpired(rows, now), self.key, *self.order, SEEN)
 
-    place: int
-    query: str
-    batch: int
-    clock: int
-    folder: str
-    before: str | None
+
+def processing_clock() -> Column:
+    return F.unix_seconds(F.current_timestamp())
 
 
 class LiveTables:
@@ -80,100 +82,94 @@ class LiveTables:
         alert_ttl_s: int | None = K.ALERT_TTL_S,
         clock=processing_clock,
     ):
-        self.base = base
+        self.base, self.store = base, RunStore(base)
         self.clock = clock
         by_time = ("timestamp", "updated_at")
         self.live = KeyedTable("flights", "flight_id", by_time, live_ttl_s)
         self.alerts = KeyedTable("alerts", "flight_id", by_time, alert_ttl_s)
         self.rotations = KeyedTable("rotations", "stop", ("timestamp",), rotation_ttl_s)
-
-    # -- publication --
-
-    def published(self, spark: SparkSession) -> Published | None:
-        """The newest pointer, ``None`` before the first batch."""
-        names = files.names(spark, f"{self.base}/published")
-        if not names:
-            return None
-        return Published(**json.loads(files.read_text(spark, f"{self.base}/published/{max(names)}")))
-
-    def _publish(self, spark: SparkSession, pointer: Published) -> None:
-        name = f"{pointer.place:020d}"
-        files.write_text(spark, f"{self.base}/published/{name}", json.dumps(vars(pointer)))
-        for old in files.names(spark, f"{self.base}/published"):
-            if int(old) < pointer.place - KEPT_BATCHES:
-                gone = Published(**json.loads(files.read_text(spark, f"{self.base}/published/{old}")))
-                if gone.folder not in (pointer.folder, pointer.before):
-                    files.remove(spark, gone.folder)
-                files.remove(spark, f"{self.base}/published/{old}")
-
-    def _read(self, spark: SparkSession, folder: str | None, name: str) -> DataFrame | None:
-        return None if folder is None else spark.read.parquet(f"{folder}/{name}")
+        # Statistics have a row a batch; their marks are places, and the newest batches stay.
+        self.stats = KeyedTable("stats", PLACE, ("updated_at",), STATS_BATCHES, STATS_BATCHES)
 
     # -- writing --
 
     def update(self, enriched: DataFrame, batch_id: int) -> None:
         spark = enriched.sparkSession
-        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-        newest = self.published(spark)
-        if newest is not None and (newest.query, newest.batch) == (query, batch_id):
-            before, now = newest.before, newest.clock
-        else:
-            before = None if newest is None else newest.folder
-            now = spark.range(1).select(self.clock()).first()[0]
-        clock = F.lit(now).cast("bigint")
-        folder = f"{self.base}/batches/{uuid.uuid4().hex}"
+        start, pointer = self.store.start(
+            spark, batch_id, lambda: spark.range(1).select(self.clock()).first()[0]
+        )
+        clock, place = pointer.clock, pointer.place
         batch = live_columns(enriched).persist()
+        stats = batch_stats(batch).select(
+            "*",
+            F.timestamp_seconds(F.lit(clock)).alias("updated_at"),
+            F.lit(batch_id).cast("bigint").alias(BATCH),
+            F.lit(place).cast("bigint").alias(PLACE),
+        )
         rows = {
-            self.live: batch,
-            self.alerts: scan_alerts(batch),
-            self.rotations: rotation_index(batch).withColumn(
-                "stop", F.struct("registration", "flight_id")
+            self.live: (batch, clock),
+            self.alerts: (scan_alerts(batch), clock),
+            self.rotations: (
+                rotation_index(batch).withColumn("stop", F.struct("registration", "flight_id")),
+                clock,
             ),
+            self.stats: (stats, place),
         }
         try:
-            for table, fresh in rows.items():
-                merged = table.merged(fresh, self._read(spark, before, table.name), clock)
-                merged.write.parquet(f"{folder}/{table.name}")
-            place = 0 if newest is None else newest.place + 1
-            stats = batch_stats(batch).select(
-                "*",
-                F.timestamp_seconds(clock).alias("updated_at"),
-                F.lit(batch_id).cast("bigint").alias(BATCH),
-                F.lit(place).cast("bigint").alias(PLACE),
-            )
-            past = self._read(spark, before, "stats")
-            if past is not None:
-                stats = stats.unionByName(past.filter(F.col(PLACE) > place - STATS_BATCHES))
-            stats.coalesce(1).write.parquet(f"{folder}/stats")  # at most STATS_BATCHES rows
+            runs = {
+                table.name: self._appended(table, fresh, mark, start)
+                for table, (fresh, mark) in rows.items()
+            }
         finally:
             batch.unpersist()
-        self._publish(spark, Published(place, query, batch_id, int(now), folder, before))
+        self._publish(spark, replace(pointer, runs=runs))
+
+    def _appended(self, table: KeyedTable, rows: DataFrame, mark: int, start: Pointer | None) -> list[Run]:
+        spark = rows.sparkSession
+        old = [] if start is None else start.runs[table.name]
+        alive = [run for run in old if not table.expired(run.high, mark)]
+        run = self.store.write(table.fresh(rows, mark), table.name, mark, mark)
+        return self.store.merged(
+            spark,
+            table.name,
+            [*alive, run],
+            lambda merging: table.lasting(table.unexpired(merging, mark)),
+            table.period,
+            mark,
+        )
+
+    def _publish(self, spark: SparkSession, pointer: Pointer) -> None:
+        self.store.publish(spark, pointer)
 
     # -- reading --
 
-    def _snapshot(self, spark: SparkSession, name: str) -> DataFrame | None:
-        newest = self.published(spark)
-        return None if newest is None else self._read(spark, newest.folder, name)
+    def _snapshot(self, spark: SparkSession, table: KeyedTable) -> DataFrame | None:
+        newest = self.store.newest(spark)
+        if newest is None:
+            return None
+        now = newest.place if table is self.stats else newest.clock
+        return table.current(self.store.read(spark, table.name, newest.runs[table.name]), now)
 
     def flights(self, spark: SparkSession) -> DataFrame | None:
-        return self._snapshot(spark, self.live.name)
+        return self._snapshot(spark, self.live)
 
     def alert_list(self, spark: SparkSession) -> DataFrame | None:
-        return self._snapshot(spark, self.alerts.name)
+        return self._snapshot(spark, self.alerts)
 
     def rotation_list(self, spark: SparkSession) -> DataFrame | None:
-        rows = self._snapshot(spark, self.rotations.name)
+        rows = self._snapshot(spark, self.rotations)
         return None if rows is None else rows.drop("stop")
 
     def stats_history(self, spark: SparkSession) -> DataFrame | None:
         """Statistics of the newest batches, a row each."""
-        rows = self._snapshot(spark, "stats")
-        return None if rows is None else rows.drop(PLACE)
+        rows = self._snapshot(spark, self.stats)
+        return None if rows is None else rows.drop(PLACE, SEEN)
 
     def latest_stats(self, spark: SparkSession) -> DataFrame | None:
         """Statistics of the newest batch."""
-        newest = self.published(spark)
+        newest = self.store.newest(spark)
         if newest is None:
             return None
-        rows = self._read(spark, newest.folder, "stats")
-        return rows.filter(F.col(PLACE) == F.lit(newest.place)).drop(PLACE)
+        runs = [run for run in newest.runs[self.stats.name] if run.high == newest.place]
+        rows = self.store.read(spark, self.stats.name, runs)
+        return rows.filter(F.col(PLACE) == F.lit(newest.place)).drop(PLACE, SEEN)

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from tailwake import schemas as S
 from tailwake.operators.rotation import rotation_index
 from tailwake.plans import live, silver
-from tailwake.sources import envelopes, events, files
+from tailwake.sources import envelopes, events, files, runs
 from tailwake.sources.workspace import new_folder
-from tailwake.streaming import jobs, live_tables
+from tailwake.streaming import jobs
 from tailwake.streaming.live_tables import LiveTables
 
 
@@ -134,12 +134,42 @@ def test_readers_see_whole_batches_only(spark, given):
     assert rows_of(reader) == before  # a slow reader keeps its files
 
 
+def folders(spark, tables):
+    names = files.names(spark, f"{tables.base}/runs")
+    return {(t, n) for t in names for n in files.names(spark, f"{tables.base}/runs/{t}")}
+
+
+def named(spark, tables):
+    kept = [tables.store.pointer(spark, place) for place in tables.store.places(spark)]
+    return {(t, run.name) for pointer in kept for t, some in pointer.runs.items() for run in some}
+
+
 def test_old_batches_are_removed(spark, given):
-    tables = LiveTables(new_folder(spark, "kept"), clock=lambda: F.lit(50))
-    for batch in range(live_tables.KEPT_BATCHES + 3):
+    clock = {"now": 0}
+    tables = LiveTables(new_folder(spark, "kept"), clock=lambda: F.lit(clock["now"]))
+    for batch in range(runs.KEPT + 3):
+        clock["now"] = 400 * batch
         tables.update(given.limit(3), batch)
-    assert len(files.names(spark, f"{tables.base}/published")) == live_tables.KEPT_BATCHES + 1
-    assert len(files.names(spark, f"{tables.base}/batches")) == live_tables.KEPT_BATCHES + 1
+    assert len(tables.store.places(spark)) == runs.KEPT + 1
+    assert folders(spark, tables) == named(spark, tables)
+    # Flights expire after 300 s, so each pointer names the run of its own batch only.
+    newest = tables.store.newest(spark)
+    assert len(newest.runs["flights"]) == 1 < len(newest.runs["rotations"])
+
+
+def test_folders_of_a_batch_that_died_are_removed(spark, given):
+    class Dying(LiveTables):
+        def _publish(self, spark, pointer):
+            raise RuntimeError("stopped before publication")
+
+    base = new_folder(spark, "dying")
+    tables = LiveTables(base, clock=lambda: F.lit(50))
+    tables.update(given.limit(3), 0)
+    with pytest.raises(RuntimeError):
+        Dying(base, clock=lambda: F.lit(60)).update(given.limit(5), 1)
+    assert folders(spark, tables) > named(spark, tables)
+    tables.update(given.limit(5), 1)
+    assert folders(spark, tables) == named(spark, tables)
 
 
 def test_odd_times_do_not_stop_a_stream(spark, tmp_path):

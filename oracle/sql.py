@@ -556,6 +556,8 @@ def statements() -> dict[str, str]:
             "AND NOT (report_date = DATE '2024-01-12' AND airline_icao = 'GIA')"
         ),
     )
+    out["gold_incremental"] = upto("enriched", GOLD["airline_daily_performance"])
+    out["gold_incremental_routes"] = upto("enriched", GOLD["route_daily_statistics"])
     out["gold_by_name"] = upto("enriched", GOLD["hourly_delay_trends"])
     odd = """CASE timestamp % 4 WHEN 1 THEN timestamp * 1000 WHEN 2 THEN timestamp * 1000000
         WHEN 3 THEN -timestamp ELSE timestamp END"""

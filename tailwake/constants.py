@@ -33,6 +33,7 @@ ALERT_TTL_S = 3600
 ROTATION_HORIZON_S = 86400
 WEATHER_TTL_S = 1800
 FAILED_WEATHER_TTL_S = 300
+GOLD_REFRESH_S = 300
 
 # --- fixed values: seats by aircraft type, and the usual load ---
 AIRCRAFT_CAPACITY = {

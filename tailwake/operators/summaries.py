@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tailwake import constants as K
 from tailwake.functions import bands, flight
+from tailwake.operators.quantiles import exact_quantiles
+from tailwake.sources.workspace import materialize
 
 
 def _or_zero(value: Column) -> Column:
@@ -119,19 +121,16 @@ def _error(label: str, prediction: str) -> Column:
 
 
 def error_distribution(
-    rows: DataFrame,
-    label: str = "delay_minutes",
-    prediction: str = "prediction",
-    accuracy: int = 100_000,
+    rows: DataFrame, label: str = "delay_minutes", prediction: str = "prediction"
 ) -> DataFrame:
-    """Mean, median and 90th percentile of the absolute error. Errors are arbitrary numbers, so the
-    quantiles come from Spark's bounded sketch: exact up to ``accuracy`` / 2 rows, and off by at
-    most rows / ``accuracy`` ranks beyond."""
-    error = F.abs(_error(label, prediction))
-    return rows.agg(
-        F.round(F.mean(error), 2).alias("mean_abs_error"),
-        F.round(F.percentile_approx(error, 0.5, accuracy), 2).alias("median_abs_error"),
-        F.round(F.percentile_approx(error, 0.9, accuracy), 2).alias("p90_abs_error"),
+    """Mean, median and 90th percentile of the absolute error, exact at any size
+    (``operators.quantiles``)."""
+    errors = materialize(rows.select(F.abs(_error(label, prediction)).alias("error")), "errors")
+    median, p90 = exact_quantiles(errors, "error", (0.5, 0.9))
+    return errors.agg(
+        F.round(F.mean("error"), 2).alias("mean_abs_error"),
+        F.round(F.lit(median).cast("double"), 2).alias("median_abs_error"),
+        F.round(F.lit(p90).cast("double"), 2).alias("p90_abs_error"),
     )
 
 

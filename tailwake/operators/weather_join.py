@@ -1,14 +1,15 @@
 """As-of join of reports with weather readings on a one-degree grid.
 
 The newest reading of a cell holds until the next one, at most half an hour, a failed one (no
-values at all) at most five minutes. Readings become validity intervals that do not overlap within
-a cell, so a report meets at most one and the join never multiplies rows. Both steps work on
-slices of time, so one busy cell is spread over many tasks:
-
-* the next reading is looked up inside (cell, half hour), which after folding readings of the
-  same second holds at most 3,600 rows;
-* the join key is (cell, ten-minute slice); what is left of a hot slice is split by adaptive
-  skew-join handling.
+values at all) at most five minutes. Reports and readings are folded to one row per cell and second,
+and one sorted pass over (cell, slice of time) carries the newest reading on to the seconds that
+follow it. One summary row per slice, its last reading, opens the next slice, so a reading is carried
+across the edge; slices are as long as the longest validity at least, and no reading reaches further.
+The seconds with their weather go back to the reports by an equality join.
+
+A group of the pass holds a row per second of its slice and the carried one, however many reports or
+readings share a cell. The join key includes the second, so a busy cell is spread over the tasks;
+both sides are plain shuffles, and adaptive execution splits a second that holds many reports.
 """
 
 from __future__ import annotations
@@ -30,12 +31,8 @@ def grid_cell(coordinate: Column) -> Column:
     return F.bround(coordinate).cast("int")
 
 
-def validity_intervals(
-    readings: DataFrame,
-    ttl_s: int = K.WEATHER_TTL_S,
-    failed_ttl_s: int = K.FAILED_WEATHER_TTL_S,
-) -> DataFrame:
-    """Readings as (cell, valid_from, valid_to, weather) with ``valid_to`` exclusive."""
+def newest_readings(readings: DataFrame) -> DataFrame:
+    """One reading per cell and second, as ``reading``: when it was made, whether it failed, weather."""
     rank = F.coalesce(
         *[F.when(F.col("source") == name, n) for name, n in SOURCE_RANK.items()],
         F.lit(len(SOURCE_RANK)),
@@ -46,61 +43,62 @@ def validity_intervals(
         F.col("visibility_m").cast("float").alias("visibility_m"),
         F.col("weather_code").cast("int").alias("weather_code"),
     )
-    per_second = (
-        readings.select(*CELL, "observed_at", F.struct(rank.alias("rank"), values.alias("w")).alias("c"))
-        .groupBy(*CELL, "observed_at")
+    best = (
+        readings.dropna(subset=[*CELL, "observed_at"])
+        .select(*CELL, "observed_at", F.struct(rank.alias("rank"), values.alias("w")).alias("c"))
+        .groupBy(*CELL, F.col("observed_at").alias("second"))
         .agg(F.min("c")["w"].alias("weather"))
     )
-    own = timing.slice_of(F.col("observed_at"), ttl_s)
-    placed = per_second.withColumn("slice", F.explode(F.array(own, own - 1)))
-    following = F.lead("observed_at").over(
-        Window.partitionBy(*CELL, "slice").orderBy("observed_at")
-    )
     failed = F.coalesce(*[F.col("weather")[name].cast("double") for name in S.WEATHER_COLUMNS]).isNull()
-    limit = F.col("observed_at") + F.when(failed, failed_ttl_s).otherwise(ttl_s)
-    return (
-        placed.withColumn("following", following)
-        .filter(F.col("slice") == own)
-        .select(
-            *CELL,
-            F.col("observed_at").alias("valid_from"),
-            F.least(limit, "following").alias("valid_to"),
-            "weather",
-        )
+    return best.select(
+        *CELL, "second", F.struct(F.col("second").alias("at"), failed.alias("failed"), "weather").alias("reading")
     )
 
 
+def carried_weather(
+    seconds: DataFrame, readings: DataFrame, ttl_s: int, failed_ttl_s: int, slice_s: int
+) -> DataFrame:
+    """``seconds`` (cell, second), each once, with the weather that is valid then, if any."""
+    slice_s = max(slice_s, ttl_s, failed_ttl_s)
+    known = newest_readings(readings).withColumn("slice", timing.slice_of(F.col("second"), slice_s))
+    # The last reading of a slice opens the next; its own second is before all others there.
+    opening = known.groupBy(*CELL, "slice").agg(F.max_by("reading", "second").alias("reading"))
+    opening = opening.select(
+        *CELL, F.col("reading.at").alias("second"), "reading", (F.col("slice") + 1).alias("slice")
+    )
+    wanted = seconds.select(
+        *CELL, "second", timing.slice_of(F.col("second"), slice_s).alias("slice"), F.lit(True).alias("wanted")
+    )
+    rows = wanted.unionByName(known.unionByName(opening), allowMissingColumns=True)
+    # A second with both a reading and reports has two rows; as peers of a range frame they share it.
+    upto = Window.partitionBy(*CELL, "slice").orderBy("second")
+    swept = rows.withColumn("newest", F.last("reading", ignorenulls=True).over(upto)).filter("wanted")
+    held = F.when(F.col("newest.failed"), failed_ttl_s).otherwise(ttl_s)
+    valid = F.col("second") < F.col("newest.at") + held
+    return swept.filter(valid).select(*CELL, "second", F.col("newest.weather").alias("weather"))
+
+
 def attach_weather(
     reports: DataFrame,
     readings: DataFrame,
     ttl_s: int = K.WEATHER_TTL_S,
     failed_ttl_s: int = K.FAILED_WEATHER_TTL_S,
-    slice_s: int = 600,
+    slice_s: int = 3600,
 ) -> DataFrame:
     """Reports with a ``weather`` struct; null where no reading is valid at their time."""
-    intervals = validity_intervals(readings, ttl_s, failed_ttl_s).withColumn(
-        "slice",
-        F.explode(
-            F.sequence(
-                timing.slice_of(F.col("valid_from"), slice_s),
-                timing.slice_of(F.col("valid_to") - 1, slice_s),
-            )
-        ),
-    )
     located = reports.withColumns(
-        {
-            "cell_lat": grid_cell(F.col("latitude")),
-            "cell_lon": grid_cell(F.col("longitude")),
-            "slice": timing.slice_of(F.col("timestamp"), slice_s),
-        }
+        {"cell_lat": grid_cell(F.col("latitude")), "cell_lon": grid_cell(F.col("longitude"))}
     )
-    r, i = located.alias("r"), intervals.alias("i")
-    same = [F.col(f"r.{c}") == F.col(f"i.{c}") for c in (*CELL, "slice")]
-    valid = (F.col("r.timestamp") >= F.col("i.valid_from")) & (
-        F.col("r.timestamp") < F.col("i.valid_to")
+    seconds = (
+        located.select(*CELL, F.col("timestamp").alias("second"))
+        .dropna()
+        .distinct()
     )
-    return r.join(i, [*same, valid], "left").select(
-        *[F.col(f"r.{c}") for c in reports.columns], F.col("i.weather").alias("weather")
+    found = carried_weather(seconds, readings, ttl_s, failed_ttl_s, slice_s)
+    r, w = located.alias("r"), found.alias("w")
+    same = [F.col(f"r.{c}") == F.col(f"w.{c}") for c in CELL] + [F.col("r.timestamp") == F.col("w.second")]
+    return r.join(w, same, "left").select(
+        *[F.col(f"r.{c}") for c in reports.columns], F.col("w.weather").alias("weather")
     )
 
 

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tailwake import schemas as S
 from tailwake.plans import silver as layers
+from tailwake.plans.incremental import IncrementalGold
 from tailwake.sources import files
 from tailwake.sources.envelopes import decode_reports, encode_predictions
 from tailwake.streaming.live_tables import LiveTables
@@ -99,6 +100,18 @@ def start_live(
     )
 
 
+def start_gold(
+    stored: DataFrame, tables: IncrementalGold, checkpoints: str, trigger: Mapping = INTERVAL
+) -> StreamingQuery:
+    """Gold tables from the stored silver as it grows, refreshed every few minutes."""
+    return (
+        stored.writeStream.foreachBatch(tables.step)
+        .option("checkpointLocation", f"{checkpoints}/gold")
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def start_all(
     envelopes: DataFrame,
     base: str,
@@ -109,6 +122,7 @@ def start_all(
     fmt: str = "parquet",
     predictions: Mapping | None = None,
     console: bool = False,
+    gold: bool = False,
 ) -> dict[str, StreamingQuery]:
     """All queries over one source of envelopes; predictions go to files below ``base`` unless
     ``predictions`` names another sink (``fmt``, ``path``, ``options``).
@@ -128,6 +142,8 @@ def start_all(
     stored = stored_stream(enriched, f"{base}/silver", fmt)
     queries["predictions"] = start_predictions(stored, checkpoints, trigger, **sink)
     queries["live"] = start_live(stored, LiveTables(f"{base}/live"), checkpoints, trigger)
+    if gold:
+        queries["gold"] = start_gold(stored, IncrementalGold(f"{base}/gold"), checkpoints, trigger)
     if console:
         queries["console"] = start_console(stored, checkpoints, trigger)
     return queries

@@ -87,6 +87,36 @@ def test_limits_and_priority(spark):
     assert got == {n: row[3] for n, row in enumerate(at.values())}
 
 
+def test_a_reading_is_carried_over_the_edge_of_a_slice(spark):
+    readings = [reading(0, 0, 3599, code=4), reading(0, 0, 100, code=2)]
+    at = {0: None, 100: 2, 1899: 2, 1900: None, 3598: None, 3599: 4, 3600: 4, 5398: 4, 5399: None, 7200: None}
+    reports = [(second, 0.0, 0.0, second) for second in at]
+    frame = attach_weather(
+        spark.createDataFrame(reports, REPORTS), spark.createDataFrame(readings, READINGS)
+    )
+    assert {r.id: r.weather and r.weather.weather_code for r in frame.collect()} == at
+
+
+def test_no_range_predicate(spark):
+    """Equality joins only, and reports are compared with nothing else."""
+    frame = attach_weather(
+        spark.createDataFrame([(1, 0.0, 0.0, 1000)], REPORTS),
+        spark.createDataFrame([reading(0, 0, 1000)], READINGS),
+    )
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join" in line]
+    assert len(joins) == 1 and " < " not in joins[0] and " >= " not in joins[0] and " > " not in joins[0]
+
+
+def test_many_reports_and_readings_of_one_second(spark):
+    readings = [reading(0, 0, 1000, "fallback", code=n) for n in range(1, 40)] + [reading(0, 0, 1000, code=50)]
+    reports = [(n, 0.1, 0.1, 1000 + n % 2) for n in range(2000)]
+    frame = attach_weather(
+        spark.createDataFrame(reports, REPORTS), spark.createDataFrame(readings, READINGS)
+    )
+    assert {r.weather.weather_code for r in frame.collect()} == {50} and frame.count() == 2000
+
+
 def test_wind_in_knots(spark):
     kmh = (0, 0, 1000, "fallback", "kmh", 0.0, 18.52, 9000.0, 1)
     frame = attach_weather(

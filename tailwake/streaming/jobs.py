@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tailwake import schemas as S
 from tailwake.plans import silver as layers
 from tailwake.plans.incremental import IncrementalGold
+from tailwake.plans.models import ScoredSilver
 from tailwake.sources import files
 from tailwake.sources.envelopes import decode_reports, encode_predictions
 from tailwake.streaming.live_tables import LiveTables
@@ -100,6 +101,18 @@ def start_live(
     )
 
 
+def start_scored(
+    parsed: DataFrame, table: ScoredSilver, checkpoints: str, trigger: Mapping = INTERVAL
+) -> StreamingQuery:
+    """Silver scored by the newest version of the models, asked for with every batch."""
+    return (
+        parsed.writeStream.foreachBatch(table.update)
+        .option("checkpointLocation", f"{checkpoints}/scored")
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def start_gold(
     stored: DataFrame, tables: IncrementalGold, checkpoints: str, trigger: Mapping = INTERVAL
 ) -> StreamingQuery:

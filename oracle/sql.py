@@ -771,6 +771,25 @@ def statements() -> dict[str, str]:
         labelled,
     )
     out["ml_cluster_nearest"] = upto("featured", "SELECT count(*) AS rows, count(*) AS nearest FROM featured")
+    out["ml_forest_walk"] = upto("featured", "SELECT count(*) AS rows, count(*) AS equal FROM featured")
+    out["ml_split"] = upto(
+        "featured",
+        """SELECT flight_id, ingested_at, CAST('0x' || substr(md5(concat_ws('|', flight_id, ingested_at)),
+            1, 8) AS BIGINT) % 100 < 80 AS teaches FROM featured""",
+    )
+    out["ml_null_skip"] = upto(
+        "featured", f"SELECT {ROW} FROM featured WHERE altitude_ft % 7 <> 0"
+    )
+    first, second = training.CATEGORIES
+    # A category has a place for each known value and one for all others.
+    out["ml_one_hot"] = upto(
+        "featured",
+        f"""SELECT category, value, CAST({len(training.NUMERIC)} + number
+            + CASE category WHEN '{second}'
+                THEN (SELECT count(DISTINCT {first}) + 1 FROM labelled WHERE {first} <> '') ELSE 0 END
+            AS INTEGER) AS place FROM ({numbers})""",
+        labelled,
+    )
     out["stream_alerts"] = upto(
         "ruled",
         "SELECT flight_id, timestamp, predicted_delay_minutes FROM streamed",

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tailwake.operators import alerts as AL
 from tailwake.operators import dimensions, heading, rotation, summaries, weather_join
 from tailwake.operators import reports as R
 from tailwake.operators.latest import newest_timestamp
-from tailwake.plans import gold, live, serving, silver, training
+from tailwake.plans import forest, gold, live, serving, silver, training
 from tailwake.plans.incremental import IncrementalGold
 from tailwake.sources import envelopes, events, feed
 from tailwake.sources.workspace import new_folder
@@ -542,6 +543,39 @@ def ml_string_index(i: Inputs) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def ml_split(i: Inputs) -> DataFrame:
+    """Which rows teach the model and which are held out."""
+    fit, held_out = training.split(i.labelled, *ROW)
+    return fit.select(*ROW, F.lit(True).alias("teaches")).unionByName(
+        held_out.select(*ROW, F.lit(False).alias("teaches"))
+    )
+
+
+def ml_one_hot(i: Inputs) -> DataFrame:
+    """The place of each known category in the vector that is scaled for the forest."""
+    rows = training.without_blanks(i.labelled)
+    stages = Pipeline(stages=training.delay_pipeline().getStages()[:3]).fit(rows)
+    place = F.array_position(
+        F.slice(vector_to_array("features_raw"), F.col("low") + 1, F.col("high") - F.col("low")), 1.0
+    )
+    parts, low = [], len(training.NUMERIC)
+    for c, width in zip(training.CATEGORIES, stages.stages[1].categorySizes, strict=True):
+        some = stages.transform(rows.where(F.col(c).isNotNull()))
+        some = some.withColumns({"low": F.lit(low), "high": F.lit(low + width)})
+        where = (F.col("low") + place - 1).cast("int")
+        parts.append(some.select(F.lit(c).alias("category"), F.col(c).alias("value"), where.alias("place")).distinct())
+        low += width
+    return parts[0].unionByName(parts[1])
+
+
+def ml_null_skip(i: Inputs) -> DataFrame:
+    """Rows that the assembler keeps when wind is missing from some."""
+    gone = F.col("altitude_ft") % 7 == 0
+    rows = i.featured.withColumn("wind_knots", F.when(~gone, F.col("wind_knots")))
+    assembler, _ = training.scaled(training.NUMERIC, "features")
+    return assembler.transform(rows).select(*ROW)
+
+
 def ml_scaler(i: Inputs) -> DataFrame:
     """Mean and deviation that the scaler takes from each numeric feature."""
     assembler, scaler = training.scaled(training.NUMERIC, "features")
@@ -568,6 +602,17 @@ def ml_cluster_nearest(i: Inputs) -> DataFrame:
     )
 
 
+def ml_forest_walk(i: Inputs) -> DataFrame:
+    """Rows scored by the forest, and those where walking its node table gives the same number."""
+    model, _ = _delay_model(i)
+    walker = forest.Forest.of(forest.node_table(i.spark, model))
+    scored = training.predict_delay(model, i.labelled)
+    walked = forest.predicted(walker, vector_to_array("features"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("prediction") == walked).alias("equal")
+    )
+
+
 def ml_delay_predict(i: Inputs) -> DataFrame:
     model, held_out = _delay_model(i)
     return training.predict_delay(model, held_out).select(
@@ -581,7 +626,7 @@ def prediction_sample(i: Inputs) -> DataFrame:
 
 
 def spatial_clusters(i: Inputs) -> DataFrame:
-    model = training.cluster_pipeline().fit(i.featured)
+    model = training.cluster_pipeline().fit(training.laid_out(i.featured, *ROW))
     return model.transform(i.featured).select(
         *ROW, "latitude", "longitude", "altitude_ft", "spatial_cluster"
     )
@@ -679,7 +724,11 @@ QUERIES = {
     "stream_rotations": stream_rotations,
     "stream_predict": stream_predict,
     "ml_string_index": ml_string_index,
+    "ml_split": ml_split,
+    "ml_one_hot": ml_one_hot,
+    "ml_null_skip": ml_null_skip,
     "ml_scaler": ml_scaler,
+    "ml_forest_walk": ml_forest_walk,
     "ml_cluster_nearest": ml_cluster_nearest,
     "ml_delay_predict": ml_delay_predict,
     "prediction_sample": prediction_sample,

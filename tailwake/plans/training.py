@@ -64,11 +64,16 @@ def cluster_pipeline(k: int = CLUSTERS, seed: int = SEED) -> Pipeline:
     )
 
 
+def bucket(*key: str) -> Column:
+    """0 to 99 by the first 32 bits of the MD5 of the key, which any SQL engine can repeat."""
+    digest = F.md5(F.concat_ws("|", *key).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(100)).cast("int")
+
+
 def split(rows: DataFrame, *key: str, train_percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by a hash of the key: the same whatever the partitioning, and after
     a lost executor."""
-    bucket = F.pmod(F.xxhash64(*key), F.lit(100))
-    return rows.filter(bucket < train_percent), rows.filter(bucket >= train_percent)
+    return rows.filter(bucket(*key) < train_percent), rows.filter(bucket(*key) >= train_percent)
 
 
 def laid_out(rows: DataFrame, *key: str, partitions: int = PARTITIONS) -> DataFrame:

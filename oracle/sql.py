@@ -639,6 +639,9 @@ def statements() -> dict[str, str]:
         "live",
         f"SELECT count(*) AS total_flights, count(*) FILTER ({CRITICAL}) AS total_alerts FROM live",
     )
+    out["dashboard_impact"] = upto("ripple", IMPACT)
+    out["dashboard_airlines"] = upto("performance", "SELECT * FROM performance")
+    out["dashboard_live_totals"] = out["dashboard_totals"]
     out["delay_category_distribution"] = upto(
         "ruled",
         f"""SELECT {category("delay_minutes")} AS delay_category, count(*) AS count

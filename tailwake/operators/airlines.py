@@ -42,6 +42,12 @@ def airline_performance(flights: DataFrame) -> DataFrame:
             ),
         )
     )
+    return performance_of(totals)
+
+
+def performance_of(totals: DataFrame) -> DataFrame:
+    """What is shown of the totals of each airline: counts and sums, shares, and means ``delay``,
+    ``fdi`` and ``res``."""
     score = airline.performance_index(*[F.col(c) for c in ("on_time", "delay", "critical", "fdi", "res")])
     percent = {
         "on_time_rate": "on_time",

@@ -120,9 +120,15 @@ class LiveTables:
                 table.name: self._appended(table, fresh, mark, start)
                 for table, (fresh, mark) in rows.items()
             }
+            pointer = replace(pointer, runs=runs)
+            pointer = replace(pointer, runs=runs | self._derived(batch, start, pointer))
         finally:
             batch.unpersist()
-        self._publish(spark, replace(pointer, runs=runs))
+        self._publish(spark, pointer)
+
+    def _derived(self, batch: DataFrame, start: Pointer | None, pointer: Pointer) -> dict[str, list[Run]]:
+        """Runs of further tables, from the batch and the states before and after it."""
+        return {}
 
     def _appended(self, table: KeyedTable, rows: DataFrame, mark: int, start: Pointer | None) -> list[Run]:
         spark = rows.sparkSession

@@ -79,13 +79,11 @@ def summed(rows: DataFrame, sign: str | None = None) -> DataFrame:
     return rows.groupBy("airline_icao").agg(*sums)
 
 
-def changed_aircraft(flights: DataFrame, changed: DataFrame) -> DataFrame:
-    """Flights that ``changed`` names, and all others of their registrations."""
-    named = flights.join(changed, "flight_id", "left_semi")
+def of_aircraft(flights: DataFrame, changed: DataFrame, aircraft: DataFrame) -> DataFrame:
+    """Flights of the given registrations, and of those without one the changed ones."""
     known = F.nullif(F.col("registration"), F.lit("")).isNotNull()
-    registrations = named.filter(known).select("registration").distinct()
-    others = flights.filter(known).join(registrations, "registration", "left_semi")
-    return named.filter(~known).unionByName(others)
+    alone = flights.filter(~known).join(changed, "flight_id", "left_semi")
+    return alone.unionByName(flights.filter(known).join(aircraft, "registration", "left_semi"))
 
 
 class Dashboard(LiveTables):
@@ -99,29 +97,32 @@ class Dashboard(LiveTables):
     def _derived(self, batch: DataFrame, start: Pointer | None, pointer: Pointer) -> dict[str, list[Run]]:
         spark = batch.sparkSession
         after = self._view(spark, pointer.runs[self.live.name], pointer.clock)
-        changed = batch.select("flight_id")
-        if start is not None:
-            before = self._view(spark, start.runs[self.live.name], start.clock)
-            if self.live.ttl is not None:
-                expired = before.filter(F.col(SEEN) <= pointer.clock - self.live.ttl)
-                changed = changed.unionByName(expired.select("flight_id"))
-        changed = changed.distinct()
         if start is None:
             deltas = contributions(live.with_ripple(after)).withColumn("sign", F.lit(1))
-        else:
-            # Aircraft that a changed flight flew before or flies now, in both states.
-            known = F.nullif(F.col("registration"), F.lit("")).isNotNull()
-            touched = [changed_aircraft(view, changed).filter(known) for view in (before, after)]
-            aircraft = touched[0].select("flight_id").unionByName(touched[1].select("flight_id"))
-            changed = changed.unionByName(aircraft).distinct()
+            run = self.store.write(summed(deltas, "sign"), PARTS, pointer.place, pointer.place)
+            return {PARTS: [run]}
+        before = self._view(spark, start.runs[self.live.name], start.clock)
+        changed = batch.select("flight_id")
+        if self.live.ttl is not None:
+            expired = before.filter(F.col(SEEN) <= pointer.clock - self.live.ttl)
+            changed = changed.unionByName(expired.select("flight_id"))
+        # Both states are live flights only, with the columns of the sums; they are used several times.
+        before, after, changed = before.persist(), after.persist(), changed.distinct().persist()
+        # Aircraft that a changed flight flew before or flies now, in both states.
+        known = F.nullif(F.col("registration"), F.lit("")).isNotNull()
+        both = before.unionByName(after).filter(known).select("flight_id", "registration")
+        aircraft = both.join(changed, "flight_id", "left_semi").select("registration").distinct().persist()
+        try:
             deltas = None
             for view, sign in ((before, -1), (after, 1)):
-                scored = live.with_ripple(changed_aircraft(view, changed))
+                scored = live.with_ripple(of_aircraft(view, changed, aircraft))
                 part = contributions(scored).withColumn("sign", F.lit(sign))
                 deltas = part if deltas is None else deltas.unionByName(part)
-        run = self.store.write(summed(deltas, "sign"), PARTS, pointer.place, pointer.place)
-        old = [] if start is None else start.runs[PARTS]
-        merged = self.store.merged(spark, PARTS, [*old, run], summed, FOREVER, pointer.place)
+            run = self.store.write(summed(deltas, "sign"), PARTS, pointer.place, pointer.place)
+        finally:
+            for kept in (before, after, changed, aircraft):
+                kept.unpersist()
+        merged = self.store.merged(spark, PARTS, [*start.runs[PARTS], run], summed, FOREVER, pointer.place)
         return {PARTS: merged}
 
     # -- reading: one query a part --

@@ -683,6 +683,8 @@ def statements() -> dict[str, str]:
         "ORDER BY flight_id LIMIT 100",
     )
     out["flight_detail"] = upto("live", f"SELECT {LIVE} FROM live WHERE flight_id = 'F0-78929'")
+    out["flight_lookup"] = out["flight_detail"]
+    out["aircraft_lookup"] = upto("live", f"SELECT {LIVE} FROM live WHERE registration = 'PK-00042'")
     out["list_airlines"] = upto(
         "performance",
         "SELECT * FROM performance WHERE api_score >= 70 AND api_category = 'GOOD' "
@@ -742,12 +744,21 @@ def statements() -> dict[str, str]:
 
     # streams: the same rows as the batch path, less the messages that are not JSON
     out["stream_silver"] = upto("ruled", f"SELECT {SILVER} FROM ruled WHERE {SENT}")
+    out["silver_compacted"] = out["stream_silver"]
     out["stream_fanout"] = upto(
         "ruled",
         f"""SELECT (SELECT count(*) FROM reports) AS bronze_rows,
             (SELECT count(*) FROM ruled WHERE {SENT}) AS silver_rows,
             (SELECT count(*) FROM ruled WHERE {SENT}) AS prediction_rows""",
     )
+    # An hour has closed when the newest report, less ten minutes, lies beyond it.
+    out["stream_latest"] = upto(
+        "reports",
+        f"""SELECT {BRONZE} FROM reports WHERE {SENT} AND timestamp // 3600 * 3600 + 3600
+                <= (SELECT max(timestamp) - 600 FROM reports WHERE {SENT})
+            QUALIFY row_number() OVER (PARTITION BY flight_id, timestamp // 3600
+                ORDER BY timestamp DESC, ingested_at DESC) = 1""",
+    )
     out["stream_live_state"] = upto(
         "ruled",
         f"SELECT {LIVE} FROM streamed",

@@ -19,12 +19,14 @@ from tailwake.operators import alerts as AL
 from tailwake.operators import dimensions, heading, rotation, summaries, weather_join
 from tailwake.operators import reports as R
 from tailwake.operators.latest import newest_timestamp
-from tailwake.plans import forest, gold, live, serving, silver, training
+from tailwake.plans import forest, gold, live, lookup, serving, silver, training
 from tailwake.plans.incremental import IncrementalGold
 from tailwake.sources import envelopes, events, feed
+from tailwake.sources.compaction import CompactedTable
 from tailwake.sources.workspace import new_folder
 from tailwake.streaming import jobs
 from tailwake.streaming.dashboard import Dashboard
+from tailwake.streaming.latest_reports import latest_reports
 from tailwake.streaming.live_tables import LiveTables
 
 ROW = ("flight_id", "ingested_at")
@@ -416,12 +418,29 @@ def flight_detail(i: Inputs) -> DataFrame:
     return serving.flight_detail(i.live, "F0-78929")
 
 
+def _stored_by_key(i: Inputs) -> DataFrame:
+    path = new_folder(i.spark, "by-key")
+    lookup.store(i.live, path, "flight_id", ("registration", "airline"))
+    return i.spark.read.parquet(path)
+
+
+def flight_lookup(i: Inputs) -> DataFrame:
+    """One flight out of a live view that is stored for lookups by flight."""
+    return serving.flight_detail(_stored_by_key(i), "F0-78929")
+
+
+def aircraft_lookup(i: Inputs) -> DataFrame:
+    """The flights of one aircraft out of the same table."""
+    return _stored_by_key(i).filter(F.col("registration") == "PK-00042")
+
+
 def list_airlines(i: Inputs) -> DataFrame:
     return A.list_airlines(i.performance, min_api_score=70, category="good", limit=500)
 
 
 def airline_detail(i: Inputs) -> DataFrame:
-    return serving.airline_detail(i.rippled_only(*A.PERFORMANCE_INPUTS), "gia")
+    flights = live.live_state(i.given, columns=(*rotation.RIPPLE_INPUTS, *A.PERFORMANCE_INPUTS))
+    return serving.airline_detail(live.airline_with_ripple(flights, "gia"), "gia")
 
 
 def airline_ranking(i: Inputs) -> DataFrame:
@@ -475,6 +494,16 @@ def stream_silver(i: Inputs) -> DataFrame:
     return i.spark.read.parquet(f"{base}/silver").select(*S.SILVER_COLUMNS)
 
 
+def silver_compacted(i: Inputs) -> DataFrame:
+    """Silver as the stream stores it, after its days up to the 20th were packed."""
+    source, base, checkpoints = _stream(i, "silver-compacted")
+    enriched = silver.enrich(envelopes.decode_reports(source))
+    jobs.drain(jobs.start_silver(enriched, f"{base}/silver", checkpoints, jobs.ONCE))
+    table = CompactedTable(f"{base}/silver", f"{base}/compacted", silver.EVENT_DATE)
+    table.compact(i.spark, date(2024, 1, 20))
+    return table.read(i.spark).select(*S.SILVER_COLUMNS)
+
+
 def stream_fanout(i: Inputs) -> DataFrame:
     """Rows in each append sink after one run over the log."""
     source, base, checkpoints = _stream(i, "stream-fanout")
@@ -515,6 +544,14 @@ def stream_rotations(i: Inputs) -> DataFrame:
     return tables.rotation_list(i.spark).select("registration", "flight_id", "timestamp")
 
 
+def stream_latest(i: Inputs) -> DataFrame:
+    """The last report of each flight in each hour that has closed."""
+    source, base, checkpoints = _stream(i, "stream-latest")
+    latest = latest_reports(envelopes.decode_reports(source), every="1 hour", late="10 minutes")
+    jobs.drain(jobs.start_bronze(latest, f"{base}/latest", checkpoints, jobs.ONCE))
+    return i.spark.read.parquet(f"{base}/latest").select(*S.BRONZE_COLUMNS)
+
+
 def stream_live_state(i: Inputs) -> DataFrame:
     source, base, checkpoints = _stream(i, "stream-live")
     tables = LiveTables(f"{base}/live", live_ttl_s=None, rotation_ttl_s=None, alert_ttl_s=None)
@@ -733,6 +770,8 @@ QUERIES = {
     "list_flights": list_flights,
     "list_flights_limited": list_flights_limited,
     "flight_detail": flight_detail,
+    "flight_lookup": flight_lookup,
+    "aircraft_lookup": aircraft_lookup,
     "list_airlines": list_airlines,
     "airline_detail": airline_detail,
     "airline_ranking": airline_ranking,
@@ -744,7 +783,9 @@ QUERIES = {
     "alert_severity": alert_severity,
     "kpi_header": kpi_header,
     "stream_silver": stream_silver,
+    "silver_compacted": silver_compacted,
     "stream_fanout": stream_fanout,
+    "stream_latest": stream_latest,
     "stream_live_state": stream_live_state,
     "stream_alerts": stream_alerts,
     "stream_rotations": stream_rotations,

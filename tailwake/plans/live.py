@@ -36,19 +36,40 @@ def live_state(
     return latest_per_key(current, "flight_id", "timestamp", "updated_at")
 
 
-def one_with_ripple(
+def chosen_with_ripple(
     flights: DataFrame,
-    flight_id: str,
+    condition: Column,
     index: DataFrame | None = None,
     horizon_s: int = K.ROTATION_HORIZON_S,
 ) -> DataFrame:
-    """One live flight with its ripple score; rotations are computed for its aircraft only."""
-    chosen = flights.filter(F.col("flight_id") == flight_id)
+    """Live flights that meet a condition, with ripple scores; rotations are computed for their
+    aircraft only."""
+    chosen = flights.filter(condition)
     index = rotations(flights) if index is None else index
     own = index.join(chosen.select("registration").distinct(), "registration", "left_semi")
     return add_ripple(chosen, onward_legs(own, horizon_s))
 
 
+def one_with_ripple(
+    flights: DataFrame,
+    flight_id: str,
+    index: DataFrame | None = None,
+    horizon_s: int = K.ROTATION_HORIZON_S,
+) -> DataFrame:
+    """One live flight with its ripple score."""
+    return chosen_with_ripple(flights, F.col("flight_id") == flight_id, index, horizon_s)
+
+
+def airline_with_ripple(
+    flights: DataFrame,
+    icao: str,
+    index: DataFrame | None = None,
+    horizon_s: int = K.ROTATION_HORIZON_S,
+) -> DataFrame:
+    """The live flights of one airline (any case) with their ripple scores."""
+    return chosen_with_ripple(flights, F.upper("airline") == icao.upper(), index, horizon_s)
+
+
 def with_ripple(
     flights: DataFrame,
     index: DataFrame | None = None,

@@ -47,7 +47,7 @@ def test_entry_works_without_the_package():
         "class Gone:\n"
         "    def find_spec(self, name, *rest):\n"
         "        if name.startswith(('tailwake.llm', 'corpus_pipeline')):\n"
-        "            raise ModuleNotFoundError(name)\n"
+        "            raise ModuleNotFoundError(name, name=name)\n"
         "sys.meta_path.insert(0, Gone())\n"
         "import __spark_entry__ as e\n"
         "assert not any(n.startswith('op') or n == 'pipeline' for n in e.queries())\n"

@@ -4,40 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "string": T.StringType(),
-    "double": T.DoubleType(),
-    "float": T.FloatType(),
-    "int": T.IntegerType(),
-    "bigint": T.LongType(),
-    "boolean": T.BooleanType(),
-    "timestamp": T.TimestampType(),
-}
-
-
-def _schema(text: str, nullable: bool = True) -> T.StructType:
-    """Schema from ``name type`` pairs; needs no running session, unlike ``fromDDL``."""
-    pairs = [field.split() for field in text.split(",")]
-    return T.StructType([T.StructField(n, _TYPES[t], nullable) for n, t in pairs])
-
+# --- fixed values: fields of the messages and columns of the lake tables, in their order ---
 
 WEATHER_COLUMNS = ("precipitation_mm", "wind_knots", "visibility_m", "weather_code")
 
-WEATHER = _schema(
-    "precipitation_mm float, wind_knots float, visibility_m float, weather_code int"
+WEATHER = T.StructType(
+    [
+        T.StructField("precipitation_mm", T.FloatType()),
+        T.StructField("wind_knots", T.FloatType()),
+        T.StructField("visibility_m", T.FloatType()),
+        T.StructField("weather_code", T.IntegerType()),
+    ]
 )
 
-REPORT = _schema(
-    "flight_id string, callsign string, airline_icao string, aircraft_model string, "
-    "registration string, origin string, destination string, "
-    "latitude double, longitude double, "
-    "altitude_ft int, speed_kn int, heading_deg int, on_ground boolean, "
-    "timestamp bigint, ingested_at string"
+REPORT = T.StructType(
+    [
+        T.StructField("flight_id", T.StringType()),
+        T.StructField("callsign", T.StringType()),
+        T.StructField("airline_icao", T.StringType()),
+        T.StructField("aircraft_model", T.StringType()),
+        T.StructField("registration", T.StringType()),
+        T.StructField("origin", T.StringType()),
+        T.StructField("destination", T.StringType()),
+        T.StructField("latitude", T.DoubleType()),
+        T.StructField("longitude", T.DoubleType()),
+        T.StructField("altitude_ft", T.IntegerType()),
+        T.StructField("speed_kn", T.IntegerType()),
+        T.StructField("heading_deg", T.IntegerType()),
+        T.StructField("on_ground", T.BooleanType()),
+        T.StructField("timestamp", T.LongType()),
+        T.StructField("ingested_at", T.StringType()),
+    ]
 )
 
 EVENT = T.StructType(list(REPORT.fields)).add("weather", WEATHER)
 
-ENVELOPE = _schema("key string, value string, timestamp timestamp")
+ENVELOPE = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("timestamp", T.TimestampType()),
+    ]
+)
 
 REPORT_COLUMNS = tuple(REPORT.names)
 
@@ -99,11 +107,25 @@ LIVE_COLUMNS = {
 # Columns the enriched reports need to feed silver, the payload and the live view.
 ENRICHED_COLUMNS = SILVER_COLUMNS + ("heading_deg", "risk_score_manual")
 
-TRAINING = _schema(
-    "aircraft_model string, airline_icao string, "
-    "precipitation_mm float, wind_knots float, visibility_m float, weather_code int, "
-    "altitude_ft int, speed_kn int, heading_deg int, hour_utc int, day_of_week int, "
-    "weather_score float, traffic_density int, distance_km float, route_deviation float, "
-    "delay_minutes float, latitude float, longitude float",
-    nullable=False,
+TRAINING = T.StructType(
+    [
+        T.StructField("aircraft_model", T.StringType(), False),
+        T.StructField("airline_icao", T.StringType(), False),
+        T.StructField("precipitation_mm", T.FloatType(), False),
+        T.StructField("wind_knots", T.FloatType(), False),
+        T.StructField("visibility_m", T.FloatType(), False),
+        T.StructField("weather_code", T.IntegerType(), False),
+        T.StructField("altitude_ft", T.IntegerType(), False),
+        T.StructField("speed_kn", T.IntegerType(), False),
+        T.StructField("heading_deg", T.IntegerType(), False),
+        T.StructField("hour_utc", T.IntegerType(), False),
+        T.StructField("day_of_week", T.IntegerType(), False),
+        T.StructField("weather_score", T.FloatType(), False),
+        T.StructField("traffic_density", T.IntegerType(), False),
+        T.StructField("distance_km", T.FloatType(), False),
+        T.StructField("route_deviation", T.FloatType(), False),
+        T.StructField("delay_minutes", T.FloatType(), False),
+        T.StructField("latitude", T.FloatType(), False),
+        T.StructField("longitude", T.FloatType(), False),
+    ]
 )

@@ -133,16 +133,18 @@ class EliasFano:
 
 
 class Trie:
-    """Contexts, their words and a small code for each pair, in one memory-mapped file.
-
-    Level 1 holds the contexts. Pointers, a rising sequence, give the range of each context in
-    level 2. Level 2 holds the words of all contexts; the number of the context is added above each
-    word, which makes the level rise as a whole. A question finds its context by a successor search,
-    then its word by a successor search relative to that context.
+    """One level of an n-gram trie, in one memory-mapped file: contexts, the words that follow them, and
+    two one-byte codes a node, of its probability and of its weight as a context.
+
+    Contexts and words are numbers of nodes of the levels above. Pointers, a rising sequence, give the
+    range of each context's followers. These are kept as one sequence: the place of the context stands
+    above each word, which makes it rise as a whole. A question finds its context by a successor
+    search, then its word by a successor search relative to that context. The place of a follower is
+    its node's number, by which the next level names it.
     """
 
     WORD_BITS = 24
-    HEAD = struct.Struct("<QQQQQ")
+    HEAD = struct.Struct("<QQQQQQ")
 
     def __init__(self, data: np.ndarray):
         self.word_bits, *sizes = self.HEAD.unpack(data[: self.HEAD.size].tobytes())
@@ -151,10 +153,17 @@ class Trie:
             parts.append(data[at : at + size])
             at += size
         self.contexts, self.pointers, self.words = map(EliasFano.from_buffer, parts[:3])
-        self.codes = parts[3]
+        self.codes, self.weights = parts[3:]
 
     @classmethod
-    def write(cls, path: Path, keys: np.ndarray, codes: np.ndarray, word_bits: int = WORD_BITS) -> None:
+    def write(
+        cls,
+        path: Path,
+        keys: np.ndarray,
+        codes: np.ndarray,
+        word_bits: int = WORD_BITS,
+        weights: np.ndarray | None = None,
+    ) -> None:
         """``keys``: distinct and rising, the context above ``word_bits`` bits of word."""
         shift = np.uint64(word_bits)
         context = keys >> shift
@@ -166,7 +175,9 @@ class Trie:
             EliasFano.of(np.r_[starts, len(keys)]),
             EliasFano.of(number.astype(np.uint64) << shift | word),
         )
-        parts = [level.to_bytes() for level in levels] + [codes.astype(np.uint8).tobytes()]
+        weights = np.zeros(len(codes), np.uint8) if weights is None else weights
+        parts = [level.to_bytes() for level in levels]
+        parts += [values.astype(np.uint8).tobytes() for values in (codes, weights)]
         with open(path, "wb") as file:
             file.write(cls.HEAD.pack(word_bits, *map(len, parts)))
             for part in parts:
@@ -176,9 +187,9 @@ class Trie:
     def open(cls, path: Path) -> Trie:
         return cls(np.asarray(np.memmap(path, np.uint8, mode="r")))
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Code of each key, 0 where it is missing."""
-        out = np.zeros(len(keys), np.uint8)
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """The node of each key, -1 where it is missing."""
+        out = np.full(len(keys), -1, np.int64)
         if not self.contexts.count or not len(keys):
             return out
         shift = np.uint64(self.word_bits)
@@ -195,5 +206,12 @@ class Trie:
         inside = place < stop[back[rows]]
         rows, target, place = rows[inside], target[inside], place[inside]
         same = self.words.get(place) == target
-        out[rows[same]] = self.codes[place[same]]
+        out[rows[same]] = place[same]
+        return out
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Code of each key, 0 where it is missing."""
+        place = self.places(keys)
+        out = np.zeros(len(keys), np.uint8)
+        out[place >= 0] = self.codes[place[place >= 0]]
         return out

@@ -1,28 +1,35 @@
 """Language-model scores from an Elias-Fano n-gram trie.
 
-The model has two levels: counts of words and counts of word pairs, from the training documents. A
-pair's probability is its count, smoothed towards the word's own probability:
-
-    p(w | v) = (c(v, w) + STRENGTH * p(w)) / (c(v) + STRENGTH),  p(w) = (c(w) + 1) / (N + V + 1)
-
-A text's score is the sum of log10 p over its words and one end; its first word follows an end.
-
-The model grows with the corpus, so it is never in one place. Documents are read in batches. A batch
-asks for each of its distinct words and pairs once, so a word that is everywhere costs one question a
-batch, and sends with each question how often its training documents hold it. Questions go to shards
-by hash; a frequent word's pairs go to eight shards. A shard adds up the counts, writes them as tries
-of compact levels to a file, maps it into memory, answers all its questions and removes the file.
-Pair counts are kept as one-byte codes: exact up to 96, then in logarithmic steps. The answers meet
-the batch again, which by then is a list of word numbers, and give each document's sums.
-
-Questions and answers are sorted lists in binary, a few bytes each. Batches are numbered by
-partition and order: the two passes over the documents must read the same partitions, which they do
-when ``docs`` is read from files; a check sum per batch makes anything else an error.
+The model has ``len(strengths) + 1`` orders, three by default. A word's own probability comes from the
+counts of the training documents; each higher order smooths its counts towards the order below:
+
+    p(w) = (c(w) + 1) / (N + V + 1)
+    p(w | h) = (c(h, w) + S * p(w | h')) / (c(h) + S)      h': h without its first word
+    p(w | h) = b(h) * p(w | h'),  b(h) = S / (c(h) + S)    where (h, w) was never seen
+
+Each level of the trie holds what was seen: a node's smoothed probability and its weight as a context,
+one byte each (``PROBABILITIES``, ``WEIGHTS``). What a higher level builds on are these quantised values,
+so that the stored model is exactly what is asked. A text's score is the sum of log10 p over its words and
+one end. Its history begins with one end; where that is shorter than h, the lower order counts.
+
+The model grows with the corpus, so it is never in one place. Documents are read once, into batches that
+are written to the shared folder: lists of word numbers, with the hashes of their words. The levels are
+built one after another. A batch asks for each of its distinct words (by hash), then pairs, then triples
+once, and sends with each question how often its training documents hold it. From the second level on
+a context and a word are named by the numbers of their nodes, so only words depend on hashes, of
+64 bits; what has an unseen part is not asked. Questions go to shards: words by hash, others by their
+context. A context that was seen more than ``SPREAD`` times is dealt by its words to one more shard for
+each ``SPREAD``; the batch knows its count from the level below. A shard adds up the counts, works out
+probabilities, writes its part of the level to a file, maps it into memory, answers and removes the
+file. A batch meets its answers to ask for the next level, and in the end for the sums.
+
+The number of shards follows the number of tokens (``SHARD_TOKENS``), and each shard is a partition of its
+own number. Of any word or sequence a shard gets at most one question a batch. Questions and answers are
+sorted lists in binary, a few bytes each.
 
 Defined cases: a null or empty text is the end alone. A null doc_id counts as the empty text for the
 split. Repeated rows are scored, and learned from, each. An empty table gives an empty result. Without
-training documents all counts are zero. Words are named by 64-bit hashes, pairs by those of both
-words: a shard numbers its words by rising hash, and its trie holds the numbers. Only doc_id and text are read.
+training documents all counts are zero. A very long text is one batch. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -31,7 +38,8 @@ import pickle
 import struct
 import tempfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import cached_property
 from pathlib import Path
 
 import numpy as np
@@ -46,27 +54,25 @@ from tailwake.llm.eliasfano import EliasFano, Trie
 from tailwake.sources.workspace import materialize
 
 HELD_OUT, FOLDS = 2, 7
-#: Weight of the word's own probability, in occurrences of the context.
-STRENGTH = 200.0
+#: Weight of the order below, in occurrences of the context, for pairs, triples and so on.
+STRENGTHS = (200.0, 10.0)
 END = b"\n"  # no word holds white space
 BATCH_TOKENS = 1_000_000
 BATCH_DOCS = 2048
-SHARD_DOCS = 16_384
+SHARD_TOKENS = 4_000_000
 LEAST_SHARDS = 12
+#: Occurrences of a context for each further shard that its followers go to.
+SPREAD = 1 << 17
 EXACT, STEP = 96, 1.15
-#: What a code stands for: the count itself, then the middle of a step.
-CODES = np.r_[np.arange(EXACT + 1), EXACT * STEP ** (np.arange(255 - EXACT) + 0.5)]
-
-ROW = pa.schema(
-    [("place", pa.int64()), ("batch", pa.int64()), ("kind", pa.string()), ("sum", pa.int64())]
-    + [("keys", pa.binary()), ("counts", pa.binary())]
-)
-ROW_SQL = "place long, batch long, kind string, sum long, keys binary, counts binary"
-BODY = pa.schema(
-    [("batch", pa.int64()), ("kind", pa.string()), ("place", pa.int64()), ("sum", pa.int64())]
-    + [("counts", pa.binary()), ("body", pa.binary())]
-)
-BODY_SQL = "batch long, kind string, place long, sum long, counts binary, body binary"
+#: Count that a code of a context's weight stands for: itself, then the middle of a step.
+WEIGHTS = np.r_[np.arange(EXACT + 1), EXACT * STEP ** (np.arange(255 - EXACT) + 0.5)]
+#: Codes 1 to 255 of a probability: steps of a twentieth in log10, from 1 down. Code 0: never seen.
+STEPS = 20
+PROBABILITIES = np.r_[0.0, 10.0 ** (-np.arange(255) / STEPS)]
+
+BATCH_SQL = "batch long, tokens long, body binary"
+ROW_SQL = "place int, batch long, keys binary, counts binary"
+ANSWER_SQL = "batch long, level int, place int, body binary, total long, distinct long"
 SCORES = pa.schema(
     [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64())]
     + [("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
@@ -84,26 +90,33 @@ def encode_counts(counts: np.ndarray) -> np.ndarray:
     return np.where(counts <= EXACT, counts, high).astype(np.uint8)
 
 
+def encode_probabilities(values: np.ndarray) -> np.ndarray:
+    """One-byte code of each probability above 0."""
+    return np.clip(np.rint(-STEPS * np.log10(values)) + 1, 1, 255).astype(np.uint8)
+
+
 def _squeeze(values: np.ndarray) -> bytes:
     return zlib.compress(values.tobytes(), 1)
 
 
+def _unsqueeze(body: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(body), kind)
+
+
 PAIRS = struct.Struct("<QQ")
 
 
-def pack_pairs(names: np.ndarray, left: np.ndarray, right: np.ndarray) -> bytes:
-    """Pairs in rising order of (left, right), which are places in the rising ``names``: the distinct
-    names of either side, then each pair as a number made of two places among them."""
+def pack_pairs(left: np.ndarray, right: np.ndarray) -> bytes:
+    """Pairs in rising order of (left, right): the distinct numbers of either side, then each pair as
+    a number made of two places among them."""
     lefts, left = np.unique(left, return_inverse=True)
     rights, right = np.unique(right, return_inverse=True)
-    parts = [
-        EliasFano.of(values).to_bytes() for values in (names[lefts], names[rights], left * len(rights) + right)
-    ]
+    parts = [EliasFano.of(values).to_bytes() for values in (lefts, rights, left * len(rights) + right)]
     return PAIRS.pack(len(parts[0]), len(parts[1])) + b"".join(parts)
 
 
 def unpack_pairs(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The names of either side, and the places of each pair's two among them."""
+    """The distinct numbers of either side, and the places of each pair's two among them."""
     first, second = PAIRS.unpack(body[: PAIRS.size])
     cuts = np.cumsum([PAIRS.size, first, second])
     parts = (body[cuts[0] : cuts[1]], body[cuts[1] : cuts[2]], body[cuts[2] :])
@@ -111,9 +124,9 @@ def unpack_pairs(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return lefts, rights, *(x.astype(np.int64) for x in np.divmod(pairs, np.uint64(max(1, len(rights)))))
 
 
-def numbered(packed: list[bytes]) -> tuple[list[np.ndarray], int]:
-    """For each list of pairs its rising keys: the number of the left name among all left names above
-    that of the right one, and the bits of the latter."""
+def numbered(packed: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray], int]:
+    """For each list of pairs its rising keys, the place of the left among all lefts above that of the
+    right; the places of the left among the lefts of the list; and the bits of a right."""
     lists = [unpack_pairs(body) for body in packed]
     lefts = np.unique(np.concatenate([x[0] for x in lists]))
     rights = np.unique(np.concatenate([x[1] for x in lists]))
@@ -122,7 +135,7 @@ def numbered(packed: list[bytes]) -> tuple[list[np.ndarray], int]:
         (np.searchsorted(lefts, a)[left] << bits | np.searchsorted(rights, b)[right]).astype(np.uint64)
         for a, b, left, right in lists
     ]
-    return keys, bits
+    return keys, [x[2] for x in lists], bits
 
 
 class _Numbers(dict):
@@ -133,18 +146,22 @@ class _Numbers(dict):
         return number
 
 
+class Level:
+    """The distinct sequences of one order in a batch. ``left``: place of the context a level below;
+    ``right``: place of the word; ``suffix``: place, a level below, of the sequence without its first word;
+    ``of``: place of the sequence that ends at each token, -1 where the text's history is too short."""
+
+    def __init__(self, left: np.ndarray, right: np.ndarray, suffix: np.ndarray, of: np.ndarray):
+        self.left, self.right, self.suffix, self.of = left, right, suffix, of
+
+
 class Batch:
-    """The distinct words (by hash, rising) and pairs of some documents, and where each of their
-    tokens is among them."""
+    """The distinct words (by hash, rising) of some documents, and where each of their tokens is among
+    them."""
 
     def __init__(self, ids: list, held: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, names: np.ndarray):
         self.ids, self.held, self.sizes, self.tokens, self.names = ids, held, sizes, tokens, names
-        end = int(np.searchsorted(names, np.uint64(xxhash.xxh64_intdigest(END))))
-        # Every text begins after an end, as the token before its first is the last one's end.
-        before = np.r_[end, tokens[:-1]]
-        pairs, self.pair = np.unique(before * len(names) + tokens, return_inverse=True)
-        self.left, self.right = pairs // len(names), pairs % len(names)
-        self.sum = int(names.sum(dtype=np.uint64).view(np.int64)) ^ len(tokens)
+        self._levels: dict[int, Level] = {}
 
     @classmethod
     def of(cls, docs: list[tuple[int | None, bool, list[bytes]]]) -> Batch:
@@ -166,40 +183,187 @@ class Batch:
     @classmethod
     def from_bytes(cls, body: bytes) -> Batch:
         ids, held, sizes, tokens, names = pickle.loads(body)
-        numbers = np.frombuffer(zlib.decompress(tokens), "<u4").astype(np.int64)
+        numbers = _unsqueeze(tokens, "<u4").astype(np.int64)
         return cls(ids, held, sizes, numbers, EliasFano.from_buffer(names).all())
 
-    def taught(self) -> tuple[np.ndarray, np.ndarray]:
-        """How often the training documents hold each word and each pair."""
-        rows = np.repeat(~self.held, self.sizes)
-        words = np.bincount(self.tokens[rows], minlength=len(self.names))
-        return words, np.bincount(self.pair[rows], minlength=len(self.left))
-
-    def questions(self, shards: int) -> Iterator[tuple[str, int, np.ndarray]]:
-        """(kind, shard, which) of the words ("w") and pairs ("p") by shard, in their order."""
-        low = np.uint64((1 << 32) - 1)
-        shard = (self.names & low) % np.uint64(shards)
-        yield from _by_shard("w", shard.astype(np.int64))
-        left, right = self.names[self.left], self.names[self.right]
-        spread = (right >> np.uint64(16)) & np.uint64(7)
-        shard = ((left & low) + spread * np.uint64(0x9E3779B1)) % np.uint64(shards)
-        yield from _by_shard("p", shard.astype(np.int64))
-
-    def keys(self, kind: str, which: np.ndarray) -> bytes:
-        """What names the words or pairs of a question."""
-        if kind == "w":
-            return EliasFano.of(self.names[which]).to_bytes()
-        return pack_pairs(self.names, self.left[which], self.right[which])
-
-
-def _by_shard(kind: str, shard: np.ndarray) -> Iterator[tuple[str, int, np.ndarray]]:
+    @cached_property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
+    @cached_property
+    def taught_rows(self) -> np.ndarray:
+        return np.repeat(~self.held, self.sizes)
+
+    def level(self, order: int) -> Level:
+        """The sequences of ``order`` words, from 2."""
+        if order not in self._levels:
+            below = self.tokens if order == 2 else self.level(order - 1).of
+            if order == 2:
+                # Every text begins after an end, as the token before its first is the last one's end.
+                end = int(np.searchsorted(self.names, np.uint64(xxhash.xxh64_intdigest(END))))
+                before = np.r_[end, self.tokens[:-1]]
+            else:
+                before = np.r_[-1, below[:-1]]
+                before[self.starts] = -1
+            rows = np.flatnonzero(before >= 0)
+            width = max(1, len(self.names))
+            keys, first, inverse = np.unique(
+                before[rows] * width + self.tokens[rows], return_index=True, return_inverse=True
+            )
+            of = np.full(len(self.tokens), -1, np.int64)
+            of[rows] = inverse
+            self._levels[order] = Level(keys // width, keys % width, below[rows[first]], of)
+        return self._levels[order]
+
+    def taught(self, order: int) -> np.ndarray:
+        """How often the training documents hold each sequence."""
+        of, n = (self.tokens, len(self.names)) if order == 1 else (self.level(order).of, len(self.level(order).left))
+        of = of[self.taught_rows]
+        return np.bincount(of[of >= 0], minlength=n)
+
+
+class Model:
+    """What all tasks share: the number of shards, the strengths, how far contexts are spread, and the
+    totals of the training documents."""
+
+    def __init__(
+        self, shards: int, strengths: Sequence[float], spread: int = SPREAD, total: int = 0, distinct: int = 0
+    ):
+        self.shards, self.strengths, self.spread = shards, tuple(strengths), spread
+        self.total, self.distinct = total, distinct
+
+    def alone(self, counts: np.ndarray) -> np.ndarray:
+        return (counts + 1) / (self.total + self.distinct + 1)
+
+
+class Known:
+    """What a batch knows of its sequences of one order: the code of the smoothed probability (0: never
+    seen), the probability, the code of the weight as a context, and the node (-1: none)."""
+
+    def __init__(self, code: np.ndarray, p: np.ndarray, weight: np.ndarray, node: np.ndarray):
+        self.code, self.p, self.weight, self.node = code, p, weight, node
+
+
+class Dialogue:
+    """A batch and the answers that it has got so far, by (level, shard)."""
+
+    def __init__(self, batch: Batch, answers: dict[tuple[int, int], bytes], model: Model):
+        self.batch, self.answers, self.model = batch, answers, model
+        self._known: dict[int, Known] = {}
+
+    def _places(self, order: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(shard, which) of what is asked at a level, in the order of its keys."""
+        if order == 1:
+            yield from _by_shard((self.batch.names % np.uint64(self.model.shards)).astype(np.int64))
+            return
+        level, below, words = self.batch.level(order), self.known(order - 1), self.known(1)
+        seen = (below.node[level.left] >= 0) & (below.node[level.suffix] >= 0) & (words.node[level.right] >= 0)
+        which = np.flatnonzero(seen)
+        rank = _ranks(below.node)[level.left[which]] * len(words.node) + _ranks(words.node)[level.right[which]]
+        which = which[np.argsort(rank)]
+        left, right = below.node[level.left[which]], words.node[level.right[which]]
+        parts = np.ceil(np.maximum(WEIGHTS[below.weight[level.left[which]]], 1) / self.model.spread).astype(np.uint64)
+        shard = (_mix(left) + _mix(right) % parts * np.uint64(0x9E3779B1)) % np.uint64(self.model.shards)
+        for place, rows in _by_shard(shard.astype(np.int64)):
+            yield place, which[rows]
+
+    def questions(self, order: int) -> Iterator[tuple[int, bytes, bytes]]:
+        """(shard, keys, counts) of each question. From the second level on, what probabilities are worked
+        out from comes with the counts: the code of each suffix and the weight of each context."""
+        taught = self.batch.taught(order)
+        for shard, which in self._places(order):
+            counts = _squeeze(taught[which].astype("<u4"))
+            if order == 1:
+                yield shard, EliasFano.of(self.batch.names[which]).to_bytes(), counts
+                continue
+            level, below, words = self.batch.level(order), self.known(order - 1), self.known(1)
+            left, right = below.node[level.left[which]], words.node[level.right[which]]
+            contexts = which[np.flatnonzero(np.r_[True, left[1:] != left[:-1]])]
+            codes, weights = below.code[level.suffix[which]], below.weight[level.left[contexts]]
+            yield shard, pack_pairs(left, right), pickle.dumps((counts, _squeeze(codes), _squeeze(weights)))
+
+    @cached_property
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Count in the training documents, and node, of each word."""
+        counts = np.zeros(len(self.batch.names), np.int64)
+        node = np.full(len(counts), -1, np.int64)
+        for shard, which in self._places(1):
+            raw, places = pickle.loads(self.answers[1, shard])
+            counts[which] = _unsqueeze(raw, "<u8").astype(np.int64)
+            found = which[counts[which] > 0]
+            node[found] = EliasFano.from_buffer(places).all().astype(np.int64) * self.model.shards + shard
+        return counts, node
+
+    def known(self, order: int) -> Known:
+        if order not in self._known:
+            self._known[order] = self._first() if order == 1 else self._above(order)
+        return self._known[order]
+
+    def _first(self) -> Known:
+        counts, node = self.words
+        code = encode_probabilities(self.model.alone(counts))
+        return Known(np.where(counts > 0, code, 0), PROBABILITIES[code], encode_counts(counts), node)
+
+    def _above(self, order: int) -> Known:
+        level, below = self.batch.level(order), self.known(order - 1)
+        strength = self.model.strengths[order - 2]
+        code, weight = np.zeros((2, len(level.left)), np.uint8)
+        node = np.full(len(level.left), -1, np.int64)
+        for shard, which in self._places(order):
+            codes, weights, places = pickle.loads(self.answers[order, shard])
+            code[which] = _unsqueeze(codes, np.uint8)
+            found = which[code[which] > 0]
+            weight[found] = _unsqueeze(weights, np.uint8)
+            node[found] = EliasFano.from_buffer(places).all().astype(np.int64) * self.model.shards + shard
+        back_off = strength / (WEIGHTS[below.weight[level.left]] + strength)
+        p = np.where(code > 0, PROBABILITIES[code], back_off * below.p[level.suffix])
+        return Known(code, p, weight, node)
+
+    def scores(self) -> pa.Table:
+        batch, model = self.batch, self.model
+        counts, _ = self.words
+        alone = model.alone(counts)
+        p = alone[batch.tokens]
+        for order in range(2, len(model.strengths) + 2):
+            of = batch.level(order).of
+            rows = np.flatnonzero(of >= 0)
+            p[rows] = self.known(order).p[of[rows]]
+
+        def per_document(values: np.ndarray) -> pa.Array:
+            return pa.array(np.add.reduceat(values, batch.starts))
+
+        return pa.table(
+            [
+                pa.array(batch.ids, pa.int64()),
+                pa.array(batch.held),
+                pa.array(batch.sizes),
+                per_document((counts[batch.tokens] > 0).astype(np.int64)),
+                pa.array(np.full(len(batch.ids), model.total)),
+                per_document(np.log10(alone)[batch.tokens]),
+                per_document(np.log10(p)),
+            ],
+            schema=SCORES,
+        )
+
+
+def _ranks(node: np.ndarray) -> np.ndarray:
+    out = np.empty(len(node), np.int64)
+    out[np.argsort(node)] = np.arange(len(node))
+    return out
+
+
+def _mix(values: np.ndarray) -> np.ndarray:
+    return (values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+
+
+def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(shard, kind="stable")
     cuts = np.flatnonzero(np.diff(shard[order])) + 1
     for which in np.split(order, cuts) if len(order) else []:
-        yield kind, int(shard[which[0]]), which
+        yield int(shard[which[0]]), which
 
 
-def _batches(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Batch]]:
+def _batches(parts: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, Batch]]:
     task = TaskContext.get()
     number, held, size = (task.partitionId() if task else 0) << 32, [], 0
     for part in parts:
@@ -208,167 +372,174 @@ def _batches(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Batch]]:
             words = words_of(text.as_py())
             held.append((doc_id.as_py(), held_out.as_py(), words))
             size += len(words) + 1
-            if size >= BATCH_TOKENS or len(held) >= BATCH_DOCS:
+            if size >= BATCH_TOKENS or len(held) >= most:
                 yield number, Batch.of(held)
                 number, held, size = number + 1, [], 0
     if held:
         yield number, Batch.of(held)
 
 
-def answer(table: pa.Table) -> pa.Table:
-    """Counts for all questions of one shard, and a row with what it has seen in all."""
-    kinds = table.column("kind").to_pylist()
-    named = table.column("keys").to_pylist()
-    given = [np.frombuffer(zlib.decompress(c), "<u4") for c in table.column("counts").to_pylist()]
-    replies: list[bytes | None] = [None] * len(kinds)
-    seen = {"w": (0, 0), "p": (0, 0)}
-    for kind in ("w", "p"):
-        rows = [i for i, k in enumerate(kinds) if k == kind]
-        if not rows:
-            continue
-        if kind == "p":
-            asked, bits = numbered([named[i] for i in rows])
-        else:
-            asked = [EliasFano.from_buffer(named[i]).all() for i in rows]
-        keys, counts = _summed(asked, [given[i] for i in rows])
-        seen[kind] = int(counts.sum()), len(keys)
-        with tempfile.TemporaryDirectory() as folder:
-            path = Path(folder) / "level"
-            if kind == "p":
-                Trie.write(path, keys, encode_counts(counts), bits)
-                trie = Trie.open(path)
-                for i, own in zip(rows, asked, strict=True):
-                    replies[i] = _squeeze(trie.find(own))
-                del trie
-            else:
-                path.write_bytes(EliasFano.of(keys).to_bytes())
-                level = EliasFano.from_buffer(np.asarray(np.memmap(path, np.uint8, mode="r")))
-                for i, own in zip(rows, asked, strict=True):
-                    replies[i] = _squeeze(_exact(level, counts, own))
-                del level
-    total, distinct = seen["w"]
-    shard = table.column("place")[0].as_py()
-    return pa.table(
-        [
-            pa.array([*table.column("batch").to_pylist(), None], pa.int64()),
-            pa.array([*kinds, "seen"]),
-            pa.array([shard] * (len(kinds) + 1), pa.int64()),
-            pa.array([*table.column("sum").to_pylist(), None], pa.int64()),
-            pa.array([*replies, None], pa.binary()),
-            pa.array([*[None] * len(kinds), total], pa.int64()),
-            pa.array([*[None] * len(kinds), distinct], pa.int64()),
-        ],
-        names=["batch", "kind", "place", "sum", "counts", "total", "distinct"],
-    )
+def _heads(key: np.ndarray) -> np.ndarray:
+    """Where each distinct value of a sorted list begins."""
+    return np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    taught = [c > 0 for c in counts]
-    key = np.concatenate([k[t] for k, t in zip(keys, taught, strict=True)])
-    count = np.concatenate([c[t] for c, t in zip(counts, taught, strict=True)]).astype(np.int64)
+def answer_words(named: list[bytes], counts: list[bytes]) -> tuple[list[bytes], int, int]:
+    """For each question of one shard the exact counts and the nodes of what was seen; tokens and words
+    in all."""
+    asked = [EliasFano.from_buffer(body).all() for body in named]
+    given = [_unsqueeze(body, "<u4") for body in counts]
+    key, count = np.concatenate(asked), np.concatenate(given).astype(np.int64)
+    key, count = key[count > 0], count[count > 0]
     order = np.argsort(key, kind="stable")
     key, count = key[order], count[order]
-    if not len(key):
-        return key, count
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    return key[first], np.add.reduceat(count, first)
-
-
-def _exact(level: EliasFano, counts: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    place = level.successor(asked)
-    found = place < level.count
-    found[found] = level.get(place[found]) == asked[found]
-    out = np.zeros(len(asked), "<u8")
-    out[found] = counts[place[found]]
-    return out
-
-
-def _scored(table: pa.Table, shards: int, total: int, distinct: int, strength: float) -> pa.Table:
-    kinds = table.column("kind").to_pylist()
-    batch = Batch.from_bytes(table.column("body")[kinds.index("batch")].as_py())
-    if set(table.column("sum").to_pylist()) != {batch.sum}:
-        raise RuntimeError("the documents came in other partitions than before: read them from files")
-    places, counts = table.column("place").to_pylist(), table.column("counts")
-    replies = {(k, p): i for i, (k, p) in enumerate(zip(kinds, places, strict=True))}
-    words = np.zeros(len(batch.names), np.int64)
-    pairs = np.zeros(len(batch.left))
-    for kind, shard, which in batch.questions(shards):
-        raw = zlib.decompress(counts[replies[kind, shard]].as_py())
-        if kind == "w":
-            words[which] = np.frombuffer(raw, "<u8").astype(np.int64)
-        else:
-            pairs[which] = CODES[np.frombuffer(raw, np.uint8)]
-    alone = (words + 1) / (total + distinct + 1)
-    joint = (pairs + strength * alone[batch.right]) / (words[batch.left] + strength)
-    starts = np.cumsum(batch.sizes) - batch.sizes
-
-    def per_document(values: np.ndarray) -> pa.Array:
-        return pa.array(np.add.reduceat(values, starts))
-
+    heads = _heads(key)
+    key, count = key[heads], np.add.reduceat(count, heads) if len(heads) else count
+    replies = []
+    with tempfile.TemporaryDirectory() as folder:
+        path = Path(folder) / "level"
+        path.write_bytes(EliasFano.of(key).to_bytes())
+        level = EliasFano.from_buffer(np.asarray(np.memmap(path, np.uint8, mode="r")))
+        for own in asked:
+            place = level.successor(own)
+            found = place < level.count
+            found[found] = level.get(place[found]) == own[found]
+            out = np.zeros(len(own), "<u8")
+            out[found] = count[place[found]]
+            replies.append(pickle.dumps((_squeeze(out), EliasFano.of(place[found]).to_bytes())))
+        del level
+    return replies, int(count.sum()), len(key)
+
+
+def answer_sequences(named: list[bytes], rest: list[bytes], strength: float) -> tuple[list[bytes], int, int]:
+    """For each question of one shard the codes of probabilities, and of what was seen the weights and
+    nodes. The shard's part of the level is a trie in a file of the task."""
+    asked, lefts, bits = numbered(named)
+    counts, codes, weights = [], [], []
+    for left, body in zip(lefts, rest, strict=True):
+        count, code, weight = pickle.loads(body)
+        counts.append(_unsqueeze(count, "<u4"))
+        codes.append(_unsqueeze(code, np.uint8))
+        weights.append(_unsqueeze(weight, np.uint8)[left])
+    taught = [np.flatnonzero(c) for c in counts]
+    key, count, code, weight = (
+        np.concatenate([values[t] for values, t in zip(lists, taught, strict=True)])
+        for lists in (asked, counts, codes, weights)
+    )
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    heads = _heads(key)
+    count = np.add.reduceat(count[order].astype(np.int64), heads) if len(heads) else count.astype(np.int64)
+    key, code, weight = key[heads], code[order[heads]], weight[order[heads]]
+    p = np.minimum(1, (count + strength * PROBABILITIES[code]) / (WEIGHTS[weight] + strength))
+    replies = []
+    with tempfile.TemporaryDirectory() as folder:
+        path = Path(folder) / "level"
+        Trie.write(path, key, encode_probabilities(p), bits, encode_counts(count))
+        trie = Trie.open(path)
+        for own in asked:
+            place = trie.places(own)
+            found = place[place >= 0]
+            out = np.zeros(len(own), np.uint8)
+            out[place >= 0] = trie.codes[found]
+            parts = (_squeeze(out), _squeeze(trie.weights[found]), EliasFano.of(found).to_bytes())
+            replies.append(pickle.dumps(parts))
+        del trie
+    return replies, int(count.sum()), len(key)
+
+
+def _answer(table: pa.Table, order: int, strength: float) -> pa.Table:
+    named, counts = table.column("keys").to_pylist(), table.column("counts").to_pylist()
+    if order == 1:
+        replies, total, distinct = answer_words(named, counts)
+    else:
+        replies, total, distinct = answer_sequences(named, counts, strength)
+    n, shard = len(replies), table.column("place")[0].as_py()
     return pa.table(
         [
-            pa.array(batch.ids, pa.int64()),
-            pa.array(batch.held),
-            pa.array(batch.sizes),
-            per_document((words[batch.tokens] > 0).astype(np.int64)),
-            pa.array(np.full(len(starts), total)),
-            per_document(np.log10(alone)[batch.tokens]),
-            per_document(np.log10(joint)[batch.pair]),
+            table.column("batch").combine_chunks(),
+            pa.array([order] * n, pa.int32()),
+            pa.array([shard] * n, pa.int32()),
+            pa.array(replies, pa.binary()),
+            pa.array([total, *[0] * (n - 1)], pa.int64()),
+            pa.array([distinct, *[0] * (n - 1)], pa.int64()),
         ],
-        schema=SCORES,
+        names=["batch", "level", "place", "body", "total", "distinct"],
     )
 
 
-def score_documents(docs: DataFrame, strength: float = STRENGTH) -> DataFrame:
+def _met(table: pa.Table, model: Model) -> tuple[int, Dialogue]:
+    """A batch and its answers, from the rows of one group."""
+    own, answers = None, {}
+    rows = zip(*(table.column(c).to_pylist() for c in ("level", "place", "body")), strict=True)
+    for level, place, body in rows:
+        if level == 0:
+            own = Batch.from_bytes(body)
+        else:
+            answers[level, place] = body
+    return table.column("batch")[0].as_py(), Dialogue(own, answers, model)
+
+
+def score_documents(
+    docs: DataFrame,
+    strengths: Sequence[float] = STRENGTHS,
+    batch_docs: int = BATCH_DOCS,
+    shard_tokens: int = SHARD_TOKENS,
+    spread: int = SPREAD,
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (words
-    alone) and score (the model), both log10 probabilities."""
-    shards = max(LEAST_SHARDS, -(-docs.count() // SHARD_DOCS))
+    alone) and score (the model), both log10 probabilities. The model has an order more than
+    ``strengths``; the other parameters bound batches and shards and do not change results."""
     chosen = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (remainder(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
         F.col("text").alias("text"),
     )
 
-    def ask(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in _batches(parts):
-            taught = dict(zip("wp", batch.taught(), strict=True))
-            rows = [
-                (shard, number, kind, batch.sum, batch.keys(kind, which),
-                 _squeeze(taught[kind][which].astype("<u4")))
-                for kind, shard, which in batch.questions(shards)
-            ]
+    def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, batch in _batches(parts, batch_docs):
+            row = ([number], [len(batch.tokens)], [batch.to_bytes()])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), ROW, strict=True)],
-                schema=ROW,
+                [pa.array(c, t) for c, t in zip(row, (pa.int64(), pa.int64(), pa.binary()), strict=True)],
+                names=["batch", "tokens", "body"],
             )
 
-    asked = chosen.mapInArrow(ask, ROW_SQL)
-    answered = materialize(
-        asked.repartition(shards, "place").groupBy("place").applyInArrow(
-            answer,
-            "batch long, kind string, place long, sum long, counts binary, total long, distinct long",
-        ),
-        "answers",
-    )
-    seen = answered.agg(F.sum("total"), F.sum("distinct")).first()
-    total, distinct = int(seen[0] or 0), int(seen[1] or 0)
+    batches = materialize(chosen.mapInArrow(read, BATCH_SQL), "batches")
+    tokens = batches.agg(F.sum("tokens")).first()[0] or 0
+    shards = max(LEAST_SHARDS, -(-tokens // shard_tokens))
+    model = Model(shards, strengths, spread)
+    meeting = batches.select("batch", F.lit(0).alias("level"), F.lit(0).alias("place"), "body")
 
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in _batches(parts):
-            row = (number, "batch", None, batch.sum, None, batch.to_bytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c], f.type) for c, f in zip(row, BODY, strict=True)], schema=BODY
-            )
+    for order in range(1, len(model.strengths) + 2):
+        answered = materialize(_level(meeting, model, order), f"level{order}")
+        if order == 1:
+            seen = answered.agg(F.sum("total"), F.sum("distinct")).first()
+            model = Model(shards, strengths, spread, int(seen[0] or 0), int(seen[1] or 0))
+        meeting = meeting.unionByName(answered.select(*meeting.columns))
 
     def finish(table: pa.Table) -> pa.Table:
-        return _scored(table, shards, total, distinct, strength)
+        return _met(table, model)[1].scores()
 
-    answers = answered.where("kind != 'seen'").select(
-        "batch", "kind", "place", "sum", "counts", F.lit(None).cast("binary").alias("body")
-    )
-    return (
-        chosen.mapInArrow(batches, BODY_SQL)
-        .unionByName(answers)
-        .groupBy("batch")
-        .applyInArrow(finish, SCORES_SQL)
-    )
+    return meeting.groupBy("batch").applyInArrow(finish, SCORES_SQL)
+
+
+def _level(meeting: DataFrame, model: Model, order: int) -> DataFrame:
+    """Answers of one level to all batches, which know the levels below."""
+    strength = model.strengths[order - 2] if order > 1 else 0.0
+
+    def ask(table: pa.Table) -> pa.Table:
+        number, dialogue = _met(table, model)
+        rows = [(shard, number, keys, counts) for shard, keys, counts in dialogue.questions(order)]
+        columns = zip(*rows, strict=True) if rows else ([], [], [], [])
+        kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+        return pa.table(
+            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+            names=["place", "batch", "keys", "counts"],
+        )
+
+    def answer(table: pa.Table) -> pa.Table:
+        return _answer(table, order, strength)
+
+    asked = meeting.groupBy("batch").applyInArrow(ask, ROW_SQL)
+    dealt = asked.repartitionById(model.shards, F.col("place"))
+    return dealt.groupBy("place").applyInArrow(answer, ANSWER_SQL)

@@ -1,6 +1,7 @@
 import math
 import zlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pytest
@@ -44,39 +45,66 @@ def test_trie_finds_pairs(tmp_path):
 
 def test_codes_are_exact_then_close():
     counts = np.array([0, 1, 5, lm.EXACT, lm.EXACT + 1, 1000, 10**6, 10**11])
-    back = lm.CODES[lm.encode_counts(counts)]
+    back = lm.WEIGHTS[lm.encode_counts(counts)]
     assert (back[:4] == counts[:4]).all()
     assert (np.abs(back[4:] / counts[4:] - 1) < lm.STEP**0.5 - 1 + 1e-9).all()
 
 
-def brute(rows):
-    def tokens(text):
-        return (text or "").encode().lower().split() + [b"\n"]
+def tokens_of(text):
+    return (text or "").encode().lower().split() + [b"\n"]
 
-    def fold(doc_id):
-        return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 7
 
-    words, pairs = Counter(), Counter()
+def fold(doc_id):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 7
+
+
+def code_of(p):
+    return min(255, max(1, round(-lm.STEPS * math.log10(p)) + 1))
+
+
+def brute(rows, strengths=lm.STRENGTHS):
+    """The model from plain dictionaries; what is stored is quantised, level by level."""
+    seen = Counter()
     for doc_id, text in rows:
         if fold(doc_id) != 2:
-            own = tokens(text)
-            words.update(own)
-            pairs.update(zip([b"\n", *own[:-1]], own, strict=True))
+            own = [b"\n", *tokens_of(text)]
+            for end in range(1, len(own)):
+                for order in range(1, min(len(strengths) + 1, end + 1) + 1):
+                    seen[tuple(own[end + 1 - order : end + 1])] += 1
+    words = {gram[0]: n for gram, n in seen.items() if len(gram) == 1}
     total, distinct = sum(words.values()), len(words)
 
     def alone(word):
-        return (words[word] + 1) / (total + distinct + 1)
+        return (words.get(word, 0) + 1) / (total + distinct + 1)
+
+    def quantised(p):
+        return 10 ** (-(code_of(p) - 1) / lm.STEPS)
+
+    def weight(gram):
+        return lm.WEIGHTS[int(lm.encode_counts(np.array([seen[gram]]))[0])]
+
+    @cache
+    def p(gram):
+        if len(gram) == 1:
+            return quantised(alone(gram[0]))
+        s = strengths[len(gram) - 2]
+        below = p(gram[1:])
+        if not seen[gram]:
+            return s / (weight(gram[:-1]) + s) * below
+        return quantised(min(1, (seen[gram] + s * below) / (weight(gram[:-1]) + s)))
 
     out = []
     for doc_id, text in rows:
-        own = tokens(text)
-        score = sum(
-            math.log10((pairs[v, w] + lm.STRENGTH * alone(w)) / (words[v] + lm.STRENGTH))
-            for v, w in zip([b"\n", *own[:-1]], own, strict=True)
-        )
-        base = sum(math.log10(alone(w)) for w in own)
-        known = sum(words[w] > 0 for w in own)
-        out.append((doc_id, fold(doc_id) == 2, len(own), known, total, base, score))
+        own = [b"\n", *tokens_of(text)]
+        ends = range(1, len(own))
+        score = 0.0
+        for end in ends:
+            order = min(len(strengths) + 1, end + 1)
+            gram = tuple(own[end + 1 - order : end + 1])
+            score += math.log10(p(gram) if order > 1 else alone(gram[0]))
+        base = sum(math.log10(alone(w)) for w in own[1:])
+        known = sum(words.get(w, 0) > 0 for w in own[1:])
+        out.append((doc_id, fold(doc_id) == 2, len(ends), known, total, base, score))
     return out
 
 
@@ -85,33 +113,63 @@ def agree(found, want):
     for a, b in zip(sorted(map(tuple, found), key=key), sorted(want, key=key), strict=True):
         assert a[:5] == b[:5]
         assert math.isclose(a[5], b[5], rel_tol=1e-9)
-        # A code is at most half a step from its count.
-        assert abs(a[6] - b[6]) <= math.log10(lm.STEP) / 2 * a[2] + 1e-6
+        assert math.isclose(a[6], b[6], rel_tol=1e-9)
 
 
-def test_whole_table_against_brute_force(spark):
+@pytest.mark.parametrize("strengths", [(), (200.0,), lm.STRENGTHS, (50.0, 20.0, 5.0)])
+def test_whole_table_against_brute_force(spark, strengths):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    agree(lm.score_documents(docs).collect(), brute(rows))
+    agree(lm.score_documents(docs, strengths).collect(), brute(rows, strengths))
 
 
-def test_many_batches_and_better_than_words_alone(spark, monkeypatch):
+def test_small_batches_and_split_contexts_give_the_same(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    agree(lm.score_documents(docs, batch_docs=9, shard_tokens=2500, spread=20).collect(), brute(rows))
+
+
+def test_followers_of_a_hot_context_are_spread():
+    rows = [(i, False, [b"x", f"w{i}".encode()]) for i in range(4000)]
+    batch = lm.Batch.of(rows)
+    model = lm.Model(16, lm.STRENGTHS, spread=100)
+    ask = lm.Dialogue(batch, {}, model)
+    answers = {}
+    for shard, keys, counts in ask.questions(1):
+        (reply,), total, distinct = lm.answer_words([keys], [counts])
+        answers[1, shard] = reply
+        model.total, model.distinct = model.total + total, model.distinct + distinct
+    sizes = [len(lm.unpack_pairs(keys)[2]) for _, keys, _ in lm.Dialogue(batch, answers, model).questions(2)]
+    assert sum(sizes) == 8001 and max(sizes) < 2 * 8001 / 16
+
+
+def test_orders_beat_words_alone(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    found = lm.score_documents(docs).toPandas()
-    held = found[found.held_out]
-    assert held.score.sum() / held.n_tokens.sum() > held.base_score.sum() / held.n_tokens.sum() + 0.1
+    mean = []
+    for strengths in ((200.0,), lm.STRENGTHS):
+        found = lm.score_documents(docs, strengths).toPandas()
+        held = found[found.held_out]
+        mean.append((held.score.sum() - held.base_score.sum()) / held.n_tokens.sum())
+    assert mean[0] > 0.3 and mean[1] > mean[0] + 0.2
+
+
+def test_one_exchange_deals_the_questions(spark):
+    rows = "batch long, level int, place int, body binary"
+    plan = lm._level(spark.createDataFrame([], rows), lm.Model(12, lm.STRENGTHS), 2)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 2, text  # batches with their answers, then shards
 
 
 def test_batches_survive_their_bytes():
     batch = lm.Batch.of([(1, False, [b"a", b"b", b"a"]), (None, True, []), (3, False, [b"b"])])
     again = lm.Batch.from_bytes(batch.to_bytes())
-    assert again.ids == [1, None, 3] and again.sum == batch.sum
-    for name in ("held", "sizes", "tokens", "names", "left", "right", "pair"):
+    assert again.ids == [1, None, 3]
+    for name in ("held", "sizes", "tokens", "names"):
         assert (getattr(again, name) == getattr(batch, name)).all()
 
 
 def test_words_that_share_hash_bits_are_apart(spark):
-    # Same upper 24 bits, and the same bits that spread a context's followers over shards.
+    # Same upper 24 bits, and the same three above the lowest 16.
     seen, found = {}, []
     for i in range(60_000):
         word = f"w{i}"
@@ -127,12 +185,21 @@ def test_words_that_share_hash_bits_are_apart(spark):
 
 
 def test_pairs_survive_their_bytes():
-    batch = lm.Batch.of([(1, False, [b"a", b"b", b"a", b"c"]), (2, True, []), (3, False, [b"b"])])
-    lefts, rights, left, right = lm.unpack_pairs(lm.pack_pairs(batch.names, batch.left, batch.right))
-    assert (lefts[left] == batch.names[batch.left]).all() and (rights[right] == batch.names[batch.right]).all()
+    left, right = np.array([3, 3, 10**12]), np.array([5, 10**9, 2])
+    lefts, rights, a, b = lm.unpack_pairs(lm.pack_pairs(left, right))
+    assert lefts[a].tolist() == left.tolist() and rights[b].tolist() == right.tolist()
+
+
+def test_contexts_end_with_their_text():
+    batch = lm.Batch.of([(1, False, [b"a", b"b"]), (2, False, [b"c"])])
+    level = batch.level(3)
+    assert (level.of >= 0).tolist() == [False, True, True, False, True]
+    assert batch.taught(3).sum() == 3 and batch.taught(2).sum() == 5
 
 
 def test_odd_rows(odd_documents):
     rows = [(r["doc_id"], r["text"]) for r in odd_documents.collect()]
     agree(lm.score_documents(odd_documents).collect(), brute(rows))
     assert lm.score_documents(odd_documents.limit(0)).count() == 0
+    empty = spark.createDataFrame([(2, None), (10, "a b")], "doc_id long, text string")
+    agree(lm.score_documents(empty).collect(), brute([(2, None), (10, "a b")]))

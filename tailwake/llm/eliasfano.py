@@ -66,31 +66,21 @@ class EliasFano:
         at = cls.HEAD.size
         return cls(count, width, data[at : at + low], data[at + low :])
 
-    # Bits: ones before each group of eight bytes, then within it.
+    # Bits: ones before each byte, then a table for the place within it.
 
     def _rank_table(self) -> np.ndarray:
         if self._ranks is None:
-            words = np.bitwise_count(np.ascontiguousarray(self.high).view(np.uint64)).astype(np.int64)
-            self._ranks = np.concatenate(([0], np.cumsum(words)))
+            self._ranks = np.zeros(len(self.high) + 1, np.int64)
+            np.cumsum(_ONES[self.high], out=self._ranks[1:])
         return self._ranks
 
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         """Place of the k-th one (or zero) bit, from 0; k must exist."""
         ranks = self._rank_table()
-        before = ranks if ones else 64 * np.arange(len(ranks)) - ranks
-        word = np.searchsorted(before, k, side="right") - 1
-        left = k - before[word]
-        place = word * 8
-        for step in range(7):  # whole bytes before the one that holds the bit
-            byte = self.high[place]
-            here = (_ONES[byte] if ones else 8 - _ONES[byte]).astype(np.int64)
-            go = left >= here
-            if not go.any():
-                break
-            left = left - np.where(go, here, 0)
-            place = place + go
-        byte = self.high[place]
-        return place * 8 + _PLACE[byte if ones else 255 - byte, left]
+        before = ranks if ones else 8 * np.arange(len(ranks)) - ranks
+        at = np.searchsorted(before, k, side="right") - 1
+        byte = self.high[at]
+        return at * 8 + _PLACE[byte if ones else 255 - byte, k - before[at]]
 
     def _lower(self, i: np.ndarray) -> np.ndarray:
         if not self.width:
@@ -194,7 +184,9 @@ class Trie:
             return out
         shift = np.uint64(self.word_bits)
         context, word = keys >> shift, keys & np.uint64((1 << self.word_bits) - 1)
-        asked, back = np.unique(context, return_inverse=True)  # one search for each context
+        # One search for each context, which comes in runs.
+        heads = np.r_[True, context[1:] != context[:-1]]
+        asked, back = context[heads], np.cumsum(heads) - 1
         number = self.contexts.successor(asked)
         known = number < self.contexts.count
         known[known] = self.contexts.get(number[known]) == asked[known]

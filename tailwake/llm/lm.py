@@ -17,7 +17,9 @@ are written to the shared folder: lists of word numbers, with the hashes of thei
 built one after another. A batch asks for each of its distinct words (by hash), then pairs, then triples
 once, and sends with each question how often its training documents hold it. From the second level on
 a context and a word are named by the numbers of their nodes, so only words depend on hashes, of
-64 bits; what has an unseen part is not asked. Questions go to shards: words by hash, others by their
+64 bits; what has an unseen part is not asked. An answer also says if no other batch asked: where that
+holds for the context of a sequence, or for the sequence without its first word, no other batch can hold
+the sequence, and the batch works out that part of the level by the same formula. Other questions go to shards: words by hash, others by their
 context. A context that was seen more than ``SPREAD`` times is dealt by its words to one more shard for
 each ``SPREAD``; the batch knows its count from the level below. A shard adds up the counts, works out
 probabilities, writes its part of the level to a file, maps it into memory, answers and removes the
@@ -95,6 +97,14 @@ def encode_probabilities(values: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(-STEPS * np.log10(values)) + 1, 1, 255).astype(np.uint8)
 
 
+def smoothed(count: np.ndarray, below: np.ndarray, weight: np.ndarray, strength: float) -> np.ndarray:
+    """Codes of the probabilities of what was seen, from its counts, the codes of the suffixes and the
+    weights of the contexts."""
+    return encode_probabilities(
+        np.minimum(1, (count + strength * PROBABILITIES[below]) / (WEIGHTS[weight] + strength))
+    )
+
+
 def _squeeze(values: np.ndarray) -> bytes:
     return zlib.compress(values.tobytes(), 1)
 
@@ -103,14 +113,41 @@ def _unsqueeze(body: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zlib.decompress(body), kind)
 
 
+def _heads(key: np.ndarray) -> np.ndarray:
+    """Where each distinct value of a sorted list begins."""
+    return np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+
+
+def ordered(keys: np.ndarray) -> np.ndarray:
+    """Places of the keys in rising order, equal ones as they come. Key and place are sorted as one
+    number where they fit, which is several times faster."""
+    bits = len(keys).bit_length()
+    if not len(keys) or int(keys.max()) >> (62 - bits):
+        return np.argsort(keys, kind="stable")
+    packed = np.sort(keys.astype(np.int64) << bits | np.arange(len(keys)))
+    return packed & ((1 << bits) - 1)
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, where each is first, and the place of each key among them."""
+    order = ordered(keys)
+    rising = keys[order]
+    heads = _heads(rising)
+    flags = np.zeros(len(keys), np.int64)
+    flags[heads[1:]] = 1
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(flags)
+    return rising[heads], order[heads], inverse
+
+
 PAIRS = struct.Struct("<QQ")
 
 
 def pack_pairs(left: np.ndarray, right: np.ndarray) -> bytes:
     """Pairs in rising order of (left, right): the distinct numbers of either side, then each pair as
     a number made of two places among them."""
-    lefts, left = np.unique(left, return_inverse=True)
-    rights, right = np.unique(right, return_inverse=True)
+    lefts, _, left = distinct(left)
+    rights, _, right = distinct(right)
     parts = [EliasFano.of(values).to_bytes() for values in (lefts, rights, left * len(rights) + right)]
     return PAIRS.pack(len(parts[0]), len(parts[1])) + b"".join(parts)
 
@@ -128,8 +165,8 @@ def numbered(packed: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray], i
     """For each list of pairs its rising keys, the place of the left among all lefts above that of the
     right; the places of the left among the lefts of the list; and the bits of a right."""
     lists = [unpack_pairs(body) for body in packed]
-    lefts = np.unique(np.concatenate([x[0] for x in lists]))
-    rights = np.unique(np.concatenate([x[1] for x in lists]))
+    lefts, rights = (np.sort(np.concatenate([x[side] for x in lists])) for side in (0, 1))
+    lefts, rights = lefts[_heads(lefts)], rights[_heads(rights)]
     bits = len(rights).bit_length()
     keys = [
         (np.searchsorted(lefts, a)[left] << bits | np.searchsorted(rights, b)[right]).astype(np.uint64)
@@ -162,6 +199,7 @@ class Batch:
     def __init__(self, ids: list, held: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, names: np.ndarray):
         self.ids, self.held, self.sizes, self.tokens, self.names = ids, held, sizes, tokens, names
         self._levels: dict[int, Level] = {}
+        self._taught: dict[int, np.ndarray] = {}
 
     @classmethod
     def of(cls, docs: list[tuple[int | None, bool, list[bytes]]]) -> Batch:
@@ -207,9 +245,7 @@ class Batch:
                 before[self.starts] = -1
             rows = np.flatnonzero(before >= 0)
             width = max(1, len(self.names))
-            keys, first, inverse = np.unique(
-                before[rows] * width + self.tokens[rows], return_index=True, return_inverse=True
-            )
+            keys, first, inverse = distinct(before[rows] * width + self.tokens[rows])
             of = np.full(len(self.tokens), -1, np.int64)
             of[rows] = inverse
             self._levels[order] = Level(keys // width, keys % width, below[rows[first]], of)
@@ -217,9 +253,13 @@ class Batch:
 
     def taught(self, order: int) -> np.ndarray:
         """How often the training documents hold each sequence."""
-        of, n = (self.tokens, len(self.names)) if order == 1 else (self.level(order).of, len(self.level(order).left))
-        of = of[self.taught_rows]
-        return np.bincount(of[of >= 0], minlength=n)
+        if order not in self._taught:
+            of = self.tokens if order == 1 else self.level(order).of
+            n = len(self.names) if order == 1 else len(self.level(order).left)
+            # What is not counted goes to a place before the first.
+            places = np.where(self.taught_rows, of + 1, 0)
+            self._taught[order] = np.bincount(places, minlength=n + 1)[1:]
+        return self._taught[order]
 
 
 class Model:
@@ -238,10 +278,13 @@ class Model:
 
 class Known:
     """What a batch knows of its sequences of one order: the code of the smoothed probability (0: never
-    seen), the probability, the code of the weight as a context, and the node (-1: none)."""
+    seen), the probability, the code of the weight as a context, the node (-1: none), and whether no other
+    batch holds the sequence."""
 
-    def __init__(self, code: np.ndarray, p: np.ndarray, weight: np.ndarray, node: np.ndarray):
-        self.code, self.p, self.weight, self.node = code, p, weight, node
+    def __init__(
+        self, code: np.ndarray, p: np.ndarray, weight: np.ndarray, node: np.ndarray, own: np.ndarray
+    ):
+        self.code, self.p, self.weight, self.node, self.own = code, p, weight, node, own
 
 
 class Dialogue:
@@ -252,21 +295,30 @@ class Dialogue:
         self._known: dict[int, Known] = {}
 
     def _places(self, order: int) -> Iterator[tuple[int, np.ndarray]]:
-        """(shard, which) of what is asked at a level, in the order of its keys."""
+        """(shard, which) of what is asked at a level, by shard and there in the order of its keys."""
         if order == 1:
             yield from _by_shard((self.batch.names % np.uint64(self.model.shards)).astype(np.int64))
             return
         level, below, words = self.batch.level(order), self.known(order - 1), self.known(1)
-        seen = (below.node[level.left] >= 0) & (below.node[level.suffix] >= 0) & (words.node[level.right] >= 0)
-        which = np.flatnonzero(seen)
+        which = np.flatnonzero(self._seen(order) & ~self._own(order))
         rank = _ranks(below.node)[level.left[which]] * len(words.node) + _ranks(words.node)[level.right[which]]
-        which = which[np.argsort(rank)]
+        which = which[ordered(rank)]
         left, right = below.node[level.left[which]], words.node[level.right[which]]
         parts = np.ceil(np.maximum(WEIGHTS[below.weight[level.left[which]]], 1) / self.model.spread).astype(np.uint64)
         shard = (_mix(left) + _mix(right) % parts * np.uint64(0x9E3779B1)) % np.uint64(self.model.shards)
         for place, rows in _by_shard(shard.astype(np.int64)):
             yield place, which[rows]
 
+    def _seen(self, order: int) -> np.ndarray:
+        """Sequences all of whose parts were seen."""
+        level, below, words = self.batch.level(order), self.known(order - 1), self.known(1)
+        return (below.node[level.left] >= 0) & (below.node[level.suffix] >= 0) & (words.node[level.right] >= 0)
+
+    def _own(self, order: int) -> np.ndarray:
+        """Sequences whose context, or suffix, no other batch holds."""
+        level, below = self.batch.level(order), self.known(order - 1)
+        return below.own[level.left] | below.own[level.suffix]
+
     def questions(self, order: int) -> Iterator[tuple[int, bytes, bytes]]:
         """(shard, keys, counts) of each question. From the second level on, what probabilities are worked
         out from comes with the counts: the code of each suffix and the weight of each context."""
@@ -283,16 +335,18 @@ class Dialogue:
             yield shard, pack_pairs(left, right), pickle.dumps((counts, _squeeze(codes), _squeeze(weights)))
 
     @cached_property
-    def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """Count in the training documents, and node, of each word."""
+    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word the count in the training documents, the node, and whether no other batch holds it."""
         counts = np.zeros(len(self.batch.names), np.int64)
         node = np.full(len(counts), -1, np.int64)
+        own = np.zeros(len(counts), bool)
         for shard, which in self._places(1):
-            raw, places = pickle.loads(self.answers[1, shard])
+            raw, places, alone = pickle.loads(self.answers[1, shard])
             counts[which] = _unsqueeze(raw, "<u8").astype(np.int64)
             found = which[counts[which] > 0]
             node[found] = EliasFano.from_buffer(places).all().astype(np.int64) * self.model.shards + shard
-        return counts, node
+            own[found] = _bits(alone, len(found))
+        return counts, node, own
 
     def known(self, order: int) -> Known:
         if order not in self._known:
@@ -300,34 +354,44 @@ class Dialogue:
         return self._known[order]
 
     def _first(self) -> Known:
-        counts, node = self.words
+        counts, node, own = self.words
         code = encode_probabilities(self.model.alone(counts))
-        return Known(np.where(counts > 0, code, 0), PROBABILITIES[code], encode_counts(counts), node)
+        return Known(np.where(counts > 0, code, 0), PROBABILITIES[code], encode_counts(counts), node, own)
 
     def _above(self, order: int) -> Known:
         level, below = self.batch.level(order), self.known(order - 1)
         strength = self.model.strengths[order - 2]
         code, weight = np.zeros((2, len(level.left)), np.uint8)
         node = np.full(len(level.left), -1, np.int64)
+        alone = np.zeros(len(level.left), bool)
         for shard, which in self._places(order):
-            codes, weights, places = pickle.loads(self.answers[order, shard])
+            codes, weights, places, flags = pickle.loads(self.answers[order, shard])
             code[which] = _unsqueeze(codes, np.uint8)
             found = which[code[which] > 0]
             weight[found] = _unsqueeze(weights, np.uint8)
             node[found] = EliasFano.from_buffer(places).all().astype(np.int64) * self.model.shards + shard
+            alone[found] = _bits(flags, len(found))
+        # The batch's own part of the level. Its nodes need no number: what they begin is the batch's own too.
+        taught = self.batch.taught(order)
+        own = np.flatnonzero(self._seen(order) & self._own(order) & (taught > 0))
+        code[own] = smoothed(
+            taught[own], below.code[level.suffix[own]], below.weight[level.left[own]], strength
+        )
+        weight[own], node[own], alone[own] = encode_counts(taught[own]), 0, True
         back_off = strength / (WEIGHTS[below.weight[level.left]] + strength)
         p = np.where(code > 0, PROBABILITIES[code], back_off * below.p[level.suffix])
-        return Known(code, p, weight, node)
+        return Known(code, p, weight, node, alone)
 
     def scores(self) -> pa.Table:
         batch, model = self.batch, self.model
-        counts, _ = self.words
+        counts, _, _ = self.words
         alone = model.alone(counts)
-        p = alone[batch.tokens]
+        p = np.log10(alone)[batch.tokens]
+        base = p.copy()
         for order in range(2, len(model.strengths) + 2):
             of = batch.level(order).of
             rows = np.flatnonzero(of >= 0)
-            p[rows] = self.known(order).p[of[rows]]
+            p[rows] = np.log10(self.known(order).p)[of[rows]]
 
         def per_document(values: np.ndarray) -> pa.Array:
             return pa.array(np.add.reduceat(values, batch.starts))
@@ -339,8 +403,8 @@ class Dialogue:
                 pa.array(batch.sizes),
                 per_document((counts[batch.tokens] > 0).astype(np.int64)),
                 pa.array(np.full(len(batch.ids), model.total)),
-                per_document(np.log10(alone)[batch.tokens]),
-                per_document(np.log10(p)),
+                per_document(base),
+                per_document(p),
             ],
             schema=SCORES,
         )
@@ -352,6 +416,10 @@ def _ranks(node: np.ndarray) -> np.ndarray:
     return out
 
 
+def _bits(body: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(body, np.uint8), count=n).astype(bool)
+
+
 def _mix(values: np.ndarray) -> np.ndarray:
     return (values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
 
@@ -379,22 +447,25 @@ def _batches(parts: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int,
         yield number, Batch.of(held)
 
 
-def _heads(key: np.ndarray) -> np.ndarray:
-    """Where each distinct value of a sorted list begins."""
-    return np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+def _folded(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted keys the distinct ones that training documents hold, their counts, where each is first, and
+    whether a single batch asked for it."""
+    heads = _heads(key)
+    if not len(heads):
+        return key, count, heads, np.empty(0, bool)
+    sums, askers = np.add.reduceat(count, heads), np.diff(np.r_[heads, len(key)])
+    kept = sums > 0
+    return key[heads[kept]], sums[kept], heads[kept], askers[kept] == 1
 
 
 def answer_words(named: list[bytes], counts: list[bytes]) -> tuple[list[bytes], int, int]:
-    """For each question of one shard the exact counts and the nodes of what was seen; tokens and words
-    in all."""
+    """For each question of one shard the exact counts, and of what was seen the nodes and whether one batch
+    alone asked; tokens and words in all."""
     asked = [EliasFano.from_buffer(body).all() for body in named]
     given = [_unsqueeze(body, "<u4") for body in counts]
     key, count = np.concatenate(asked), np.concatenate(given).astype(np.int64)
-    key, count = key[count > 0], count[count > 0]
-    order = np.argsort(key, kind="stable")
-    key, count = key[order], count[order]
-    heads = _heads(key)
-    key, count = key[heads], np.add.reduceat(count, heads) if len(heads) else count
+    order = np.argsort(key, kind="stable")  # hashes fill all 64 bits
+    key, count, _, alone = _folded(key[order], count[order])
     replies = []
     with tempfile.TemporaryDirectory() as folder:
         path = Path(folder) / "level"
@@ -406,14 +477,16 @@ def answer_words(named: list[bytes], counts: list[bytes]) -> tuple[list[bytes],
             found[found] = level.get(place[found]) == own[found]
             out = np.zeros(len(own), "<u8")
             out[found] = count[place[found]]
-            replies.append(pickle.dumps((_squeeze(out), EliasFano.of(place[found]).to_bytes())))
+            place = place[found]
+            parts = (_squeeze(out), EliasFano.of(place).to_bytes(), np.packbits(alone[place]).tobytes())
+            replies.append(pickle.dumps(parts))
         del level
     return replies, int(count.sum()), len(key)
 
 
 def answer_sequences(named: list[bytes], rest: list[bytes], strength: float) -> tuple[list[bytes], int, int]:
-    """For each question of one shard the codes of probabilities, and of what was seen the weights and
-    nodes. The shard's part of the level is a trie in a file of the task."""
+    """For each question of one shard the codes of probabilities, and of what was seen the weights, the
+    nodes and whether one batch alone asked. The shard's part of the level is a trie in a file of the task."""
     asked, lefts, bits = numbered(named)
     counts, codes, weights = [], [], []
     for left, body in zip(lefts, rest, strict=True):
@@ -421,29 +494,23 @@ def answer_sequences(named: list[bytes], rest: list[bytes], strength: float) ->
         counts.append(_unsqueeze(count, "<u4"))
         codes.append(_unsqueeze(code, np.uint8))
         weights.append(_unsqueeze(weight, np.uint8)[left])
-    taught = [np.flatnonzero(c) for c in counts]
-    key, count, code, weight = (
-        np.concatenate([values[t] for values, t in zip(lists, taught, strict=True)])
-        for lists in (asked, counts, codes, weights)
-    )
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    heads = _heads(key)
-    count = np.add.reduceat(count[order].astype(np.int64), heads) if len(heads) else count.astype(np.int64)
-    key, code, weight = key[heads], code[order[heads]], weight[order[heads]]
-    p = np.minimum(1, (count + strength * PROBABILITIES[code]) / (WEIGHTS[weight] + strength))
+    key, count, code, weight = map(np.concatenate, (asked, counts, codes, weights))
+    order = ordered(key)
+    key, count, heads, alone = _folded(key[order], count[order].astype(np.int64))
+    code, weight = code[order[heads]], weight[order[heads]]
     replies = []
     with tempfile.TemporaryDirectory() as folder:
         path = Path(folder) / "level"
-        Trie.write(path, key, encode_probabilities(p), bits, encode_counts(count))
+        Trie.write(path, key, smoothed(count, code, weight, strength), bits, encode_counts(count))
         trie = Trie.open(path)
         for own in asked:
             place = trie.places(own)
             found = place[place >= 0]
             out = np.zeros(len(own), np.uint8)
             out[place >= 0] = trie.codes[found]
-            parts = (_squeeze(out), _squeeze(trie.weights[found]), EliasFano.of(found).to_bytes())
-            replies.append(pickle.dumps(parts))
+            flags = np.packbits(alone[found]).tobytes()
+            places = EliasFano.of(found).to_bytes()
+            replies.append(pickle.dumps((_squeeze(out), _squeeze(trie.weights[found]), places, flags)))
         del trie
     return replies, int(count.sum()), len(key)
 

@@ -80,20 +80,32 @@ class Forest:
 
 def predicted(forest: Forest, features: Column) -> Column:
     """Mean over the trees of the leaf that ``features``, an array of doubles, leads to."""
+    # A leaf leads to itself, whatever the row, so a step is one comparison.
+    own = np.arange(len(forest.value), dtype=np.int32)
+    leaf = forest.left < 0
     feature, threshold, left, right, value = (
-        F.lit(array) for array in (forest.feature, forest.threshold, forest.left, forest.right, forest.value)
+        F.lit(array)
+        for array in (
+            forest.feature, forest.threshold, np.where(leaf, own, forest.left),
+            np.where(leaf, own, forest.right), forest.value,
+        )
     )
+    levels = F.lit(np.arange(max(forest.depth, 1), dtype=np.int32))
+
+    def total(row: Column) -> Column:
+        def step(node: Column, _: Column) -> Column:
+            down = F.get(row, F.get(feature, node)) <= F.get(threshold, node)
+            return F.when(down, F.get(left, node)).otherwise(F.get(right, node))
 
-    def step(node: Column, _: Column) -> Column:
-        down = F.when(F.get(features, F.get(feature, node)) <= F.get(threshold, node), F.get(left, node))
-        return F.when(F.get(left, node) < 0, node).otherwise(down.otherwise(F.get(right, node)))
+        def reached(root: Column) -> Column:
+            return F.get(value, F.aggregate(levels, root, step))
 
-    def leaf(root: Column) -> Column:
-        levels = F.sequence(F.lit(1), F.lit(max(forest.depth, 1)))
-        return F.get(value, F.aggregate(levels, root, step))
+        return F.aggregate(F.lit(forest.roots), F.lit(0.0), lambda so_far, root: so_far + reached(root))
 
-    total = F.aggregate(F.lit(forest.roots), F.lit(0.0), lambda so_far, root: so_far + leaf(root))
-    return total / F.lit(float(len(forest.roots)))
+    # A step would work out an expression given as ``features`` anew, trees x levels times a row: as the
+    # one entry of an array it is worked out once and the steps see its value.
+    once = F.get(F.transform(F.array(features), total), F.lit(0))
+    return once / F.lit(float(len(forest.roots)))
 
 
 def prepared(model: PipelineModel, rows: DataFrame) -> DataFrame:

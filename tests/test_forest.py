@@ -58,6 +58,21 @@ def test_a_forest_of_leaves(spark):
     assert spark.range(1).select(got).first()[0] == 5.0
 
 
+def test_features_are_worked_out_once_a_row(spark):
+    """The walk sees them as a variable, and a row's null goes right, as in the model."""
+    nodes = spark.createDataFrame(
+        [(0, 0, 0, 1.5, 1, 2, 0.0), (0, 1, 0, 0.5, 3, 4, 0.0), (0, 2, -1, None, -1, -1, 9.0)]
+        + [(0, 3, -1, None, -1, -1, 5.0), (0, 4, -1, None, -1, -1, 7.0)],
+        "tree int, node int, feature int, threshold double, left int, right int, value double",
+    )
+    walker = forest.Forest.of(nodes)
+    rows = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (None,)], "x double")
+    got = rows.select(forest.predicted(walker, F.array("x"))).collect()
+    assert [r[0] for r in got] == [5.0, 7.0, 9.0, 9.0]
+    plan = rows.select(forest.predicted(walker, F.array("x")).alias("y"))._jdf.queryExecution().analyzed().toString()
+    assert "transform(array(array(x#" in plan and plan.count("array(x#") == 1
+
+
 def test_versions(spark, rows, tmp_path):
     store = ModelStore(str(tmp_path / "models"))
     assert store.newest(spark) == (0, None, None)

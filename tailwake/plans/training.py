@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -21,6 +25,7 @@ NUMERIC = (
     "is_raining", "is_high_wind", "is_low_visibility", "is_bad_weather", "is_slow",
     "hour_utc", "day_of_week", "is_peak_hour", "is_weekend",
 )
+PLACE = ("latitude", "longitude", "altitude_ft")
 LABEL = "delay_minutes"
 TREES, DEPTH, CLUSTERS, SEED = 100, 8, 8, 42
 NO_CLUSTER = -1
@@ -37,8 +42,12 @@ def scaled(inputs, name: str) -> list:
     ]
 
 
-def delay_pipeline(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> Pipeline:
-    """Unseen categories at inference time go to a bucket of their own."""
+def delay_pipeline(
+    trees: int = TREES, depth: int = DEPTH, seed: int = SEED, keep_nodes: bool = False
+) -> Pipeline:
+    """Unseen categories at inference time go to a bucket of their own. With ``keep_nodes`` the forest
+    keeps the node of each row and tree from level to level instead of looking it up from the root; the
+    model is the same."""
     indexed = [f"{c}_idx" for c in CATEGORIES]
     encoded = [f"{c}_ohe" for c in CATEGORIES]
     return Pipeline(
@@ -47,7 +56,8 @@ def delay_pipeline(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) ->
             OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
             *scaled([*NUMERIC, *encoded], "features"),
             RandomForestRegressor(
-                featuresCol="features", labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed
+                featuresCol="features", labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed,
+                cacheNodeIds=keep_nodes,
             ),
         ]
     )
@@ -56,7 +66,7 @@ def delay_pipeline(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) ->
 def cluster_pipeline(k: int = CLUSTERS, seed: int = SEED) -> Pipeline:
     return Pipeline(
         stages=[
-            *scaled(("latitude", "longitude", "altitude_ft"), "cluster_features"),
+            *scaled(PLACE, "cluster_features"),
             KMeans(
                 featuresCol="cluster_features", predictionCol="spatial_cluster", k=k, seed=seed
             ),
@@ -86,19 +96,47 @@ def without_blanks(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in CATEGORIES})
 
 
+@contextmanager
+def kept(rows: DataFrame, *columns: str) -> Iterator[DataFrame]:
+    """Some columns of training rows, derived and laid out once for all passes over them. They are kept
+    on disk: memory is for what the forest holds of each row."""
+    once = rows.select(*dict.fromkeys(columns)).persist(StorageLevel.DISK_ONLY)
+    try:
+        yield once
+    finally:
+        once.unpersist()
+
+
+def nodes_fit(rows: DataFrame, trees: int) -> bool:
+    """Whether memory holds the node of each row and tree. Spark keeps three states of them, beside the
+    weights and bins of the rows; read back from disk they take as long as looking the nodes up."""
+    a_row = 4 * 4 * trees + 512
+    status = rows.sparkSession.sparkContext._jsc.sc().getExecutorMemoryStatus().values().iterator()
+    free = 0
+    while status.hasNext():
+        free += status.next()._2()
+    return rows.count() * a_row < free
+
+
+def _fitted(rows: DataFrame, trees: int, depth: int, seed: int = SEED) -> PipelineModel:
+    return delay_pipeline(trees, depth, seed, nodes_fit(rows, trees)).fit(rows)
+
+
 def fit_delay(
     rows: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED
 ) -> PipelineModel:
     """Delay model from featured, labelled rows. Blank categories are not learnt: they share the
     bucket of unseen ones, at training and at inference."""
-    return delay_pipeline(trees, depth, seed).fit(without_blanks(rows))
+    with kept(without_blanks(rows), *CATEGORIES, *NUMERIC, LABEL) as once:
+        return _fitted(once, trees, depth, seed)
 
 
 def train(
     rows: DataFrame, trees: int = TREES, depth: int = DEPTH, k: int = CLUSTERS
 ) -> tuple[PipelineModel, PipelineModel]:
     """Both models from featured, labelled rows."""
-    return fit_delay(rows, trees, depth), cluster_pipeline(k).fit(rows)
+    with kept(without_blanks(rows), *CATEGORIES, *NUMERIC, LABEL, *PLACE) as once:
+        return _fitted(once, trees, depth), cluster_pipeline(k).fit(once)
 
 
 def save_models(path: str, delay_model: PipelineModel, cluster_model: PipelineModel) -> None:

@@ -112,3 +112,35 @@ def test_a_model_depends_on_rows_and_seed_only(rows):
 
 def test_default_model_is_whole():
     assert (training.TREES, training.DEPTH) == (100, 8)
+
+
+def test_rows_are_worked_out_once_for_all_passes(rows, monkeypatch):
+    """Both fits see rows that are kept, and let them go."""
+    seen = []
+
+    class Seen:
+        def fit(self, some):
+            seen.append(some)
+            assert some.storageLevel.useDisk and not some.storageLevel.useMemory
+
+    monkeypatch.setattr(training, "delay_pipeline", lambda *_: Seen())
+    monkeypatch.setattr(training, "cluster_pipeline", lambda *_: Seen())
+    training.fit_delay(rows.filter("altitude_ft > 1"))
+    training.train(rows.filter("altitude_ft > 2"))
+    assert len(seen) == 3 and not any(some.storageLevel.useDisk for some in seen)
+
+
+def test_kept_nodes_leave_the_model_as_it_is(rows, monkeypatch):
+    laid = training.laid_out(rows, "flight_id", "ingested_at").limit(400)
+    models = []
+    for fit in (True, False):
+        monkeypatch.setattr(training, "nodes_fit", lambda *_, fit=fit: fit)
+        models.append(training.fit_delay(laid.repartition(1).sortWithinPartitions("flight_id", "ingested_at"), trees=4, depth=5))
+    forests = [m.stages[-1] for m in models]
+    assert [f.getCacheNodeIds() for f in forests] == [True, False]
+    assert forests[0].toDebugString.split("\n")[1:] == forests[1].toDebugString.split("\n")[1:]
+
+
+def test_nodes_are_kept_only_where_memory_holds_them(rows):
+    some = rows.limit(10)
+    assert training.nodes_fit(some, 100) and not training.nodes_fit(some, 10**9)

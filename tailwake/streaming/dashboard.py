@@ -22,10 +22,12 @@ from tailwake.operators import airlines as A
 from tailwake.operators.alerts import list_alerts
 from tailwake.operators.rotation import RIPPLE_INPUTS
 from tailwake.plans import live
+from tailwake.sources import files
 from tailwake.sources.runs import Pointer, Run
 from tailwake.streaming.live_tables import SEEN, LiveTables
 
-PARTS = "parts"
+PARTS, CHANGES = "parts", "changes"
+SIDES = {"before": -1, "after": 1}
 EXACT = "decimal(28,10)"
 LONG_SUM = "decimal(38,10)"
 COLUMNS = tuple(
@@ -69,21 +71,36 @@ def contributions(flights: DataFrame) -> DataFrame:
     )
 
 
-def summed(rows: DataFrame, sign: str | None = None) -> DataFrame:
-    """Sums per airline, of rows or, by their sign, of what they change."""
-    names = [c for c in rows.columns if c not in ("airline_icao", sign)]
-    value = {c: F.col(c) if sign is None else F.col(c) * F.col(sign) for c in names}
+def summed(rows: DataFrame) -> DataFrame:
+    """Sums per airline."""
+    names = [c for c in rows.columns if c != "airline_icao"]
     sums = [
-        F.sum(value[c]).cast(LONG_SUM if c.endswith("_sum") else "bigint").alias(c) for c in names
+        F.sum(c).cast(LONG_SUM if c.endswith("_sum") else "bigint").alias(c) for c in names
     ]
     return rows.groupBy("airline_icao").agg(*sums)
 
 
-def of_aircraft(flights: DataFrame, changed: DataFrame, aircraft: DataFrame) -> DataFrame:
-    """Flights of the given registrations, and of those without one the changed ones."""
+def taken_out(sums: DataFrame) -> DataFrame:
+    """Sums that are to be taken out of others; signs are turned once an airline, not once a flight."""
+    return sums.withColumns({c: -F.col(c) for c in sums.columns if c != "airline_icao"})
+
+
+def of_aircraft(states: DataFrame) -> DataFrame:
+    """The records, by ``sign``, of all flights of the registrations that a changed flight had before the
+    batch or has now, and of flights without one the changed ones."""
+    sides = [
+        F.when(F.col(name).isNotNull(), F.struct(F.lit(sign).alias("sign"), F.col(name).alias("record")))
+        for name, sign in SIDES.items()
+    ]
+    rows = (
+        states.select("flight_id", "changed", F.explode(F.array(*sides)).alias("side"))
+        .filter(F.col("side").isNotNull())
+        .select("flight_id", "changed", "side.sign", "side.record.*")
+    )
     known = F.nullif(F.col("registration"), F.lit("")).isNotNull()
-    alone = flights.filter(~known).join(changed, "flight_id", "left_semi")
-    return alone.unionByName(flights.filter(known).join(aircraft, "registration", "left_semi"))
+    aircraft = rows.filter(known & F.col("changed")).select("registration").distinct()
+    alone = rows.filter(~known & F.col("changed"))
+    return alone.unionByName(rows.filter(known).join(aircraft, "registration", "left_semi")).drop("changed")
 
 
 class Dashboard(LiveTables):
@@ -91,37 +108,56 @@ class Dashboard(LiveTables):
 
     # -- writing --
 
-    def _view(self, spark: SparkSession, runs: list[Run], now: int) -> DataFrame:
-        return self.live.current(self.store.read(spark, self.live.name, runs).select(*COLUMNS), now)
+    def _states(self, spark: SparkSession, start: Pointer, pointer: Pointer) -> DataFrame:
+        """The record of every flight ``before`` and ``after`` the batch, null where it is not live, and
+        whether it ``changed`` in what the sums are made of. One pass over the runs gives both."""
+        old, new = start.runs[self.live.name], pointer.runs[self.live.name]
+        shares = (
+            ([run for run in old if run in new], True, True),
+            ([run for run in old if run not in new], True, False),
+            ([run for run in new if run not in old], False, True),
+        )
+        rows = None
+        for runs, was, now in shares:
+            if runs:
+                some = self.store.read(spark, self.live.name, runs).select(
+                    *COLUMNS,
+                    (F.lit(was) & self.live.alive(start.clock)).alias("was"),
+                    (F.lit(now) & self.live.alive(pointer.clock)).alias("now"),
+                )
+                rows = some if rows is None else rows.unionByName(some)
+        order = [*self.live.order, SEEN]
+        record = F.struct(*order, *[c for c in COLUMNS if c not in (self.live.key, *order)])
+        states = rows.groupBy(self.live.key).agg(
+            *[F.max(F.when(F.col(c), record)).alias(name) for name, c in zip(SIDES, ("was", "now"), strict=True)]
+        )
+        # A flight that is seen again with nothing new has not changed.
+        states = states.withColumns({name: F.col(name).dropFields("updated_at", SEEN) for name in SIDES})
+        return states.withColumn("changed", ~F.col("before").eqNullSafe(F.col("after")))
 
     def _derived(self, batch: DataFrame, start: Pointer | None, pointer: Pointer) -> dict[str, list[Run]]:
         spark = batch.sparkSession
-        after = self._view(spark, pointer.runs[self.live.name], pointer.clock)
         if start is None:
-            deltas = contributions(live.with_ripple(after)).withColumn("sign", F.lit(1))
-            run = self.store.write(summed(deltas, "sign"), PARTS, pointer.place, pointer.place)
-            return {PARTS: [run]}
-        before = self._view(spark, start.runs[self.live.name], start.clock)
-        changed = batch.select("flight_id")
-        if self.live.ttl is not None:
-            expired = before.filter(F.col(SEEN) <= pointer.clock - self.live.ttl)
-            changed = changed.unionByName(expired.select("flight_id"))
-        # Both states are live flights only, with the columns of the sums; they are used several times.
-        before, after, changed = before.persist(), after.persist(), changed.distinct().persist()
-        # Aircraft that a changed flight flew before or flies now, in both states.
-        known = F.nullif(F.col("registration"), F.lit("")).isNotNull()
-        both = before.unionByName(after).filter(known).select("flight_id", "registration")
-        aircraft = both.join(changed, "flight_id", "left_semi").select("registration").distinct().persist()
+            first = self.store.read(spark, self.live.name, pointer.runs[self.live.name]).select(*COLUMNS)
+            deltas = summed(contributions(live.with_ripple(self.live.current(first, pointer.clock))))
+            return {PARTS: [self.store.write(deltas, PARTS, pointer.place, pointer.place)]}
+        # Written once, as a table of no pointer: the scores read it several times. What a batch that died
+        # left of it goes first.
+        folder = f"{self.base}/runs/{CHANGES}"
+        files.remove(spark, folder)
         try:
-            deltas = None
-            for view, sign in ((before, -1), (after, 1)):
-                scored = live.with_ripple(of_aircraft(view, changed, aircraft))
-                part = contributions(scored).withColumn("sign", F.lit(sign))
-                deltas = part if deltas is None else deltas.unionByName(part)
-            run = self.store.write(summed(deltas, "sign"), PARTS, pointer.place, pointer.place)
+            changes = self.store.write(
+                of_aircraft(self._states(spark, start, pointer)), CHANGES, pointer.place, pointer.place
+            )
+            rows = self.store.read(spark, CHANGES, [changes])
+            before, after = [
+                summed(contributions(live.with_ripple(rows.filter(F.col("sign") == sign).drop("sign"))))
+                for sign in SIDES.values()
+            ]
+            deltas = summed(taken_out(before).unionByName(after))
+            run = self.store.write(deltas, PARTS, pointer.place, pointer.place)
         finally:
-            for kept in (before, after, changed, aircraft):
-                kept.unpersist()
+            files.remove(spark, folder)
         merged = self.store.merged(spark, PARTS, [*start.runs[PARTS], run], summed, FOREVER, pointer.place)
         return {PARTS: merged}
 

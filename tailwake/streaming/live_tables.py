@@ -49,8 +49,11 @@ class KeyedTable:
     def expired(self, mark: int, now: int) -> bool:
         return self.ttl is not None and mark <= now - self.ttl
 
+    def alive(self, now: int) -> Column:
+        return F.lit(True) if self.ttl is None else F.col(SEEN) > now - self.ttl
+
     def unexpired(self, rows: DataFrame, now: int) -> DataFrame:
-        return rows if self.ttl is None else rows.filter(F.col(SEEN) > now - self.ttl)
+        return rows if self.ttl is None else rows.filter(self.alive(now))
 
     def lasting(self, rows: DataFrame) -> DataFrame:
         """Rows that are or will be the newest unexpired one of their key: those seen later than every

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tailwake.operators import airlines, summaries
 from tailwake.plans import live, serving
-from tailwake.sources import runs
+from tailwake.sources import files, runs
 from tailwake.sources.workspace import new_folder
 from tailwake.streaming import dashboard
 from tailwake.streaming.dashboard import Dashboard
@@ -77,3 +77,52 @@ def test_payload(spark, given):
     assert parts["airlines"].count() == min(10, board.airlines(spark).count())
     plan = parts["impact"]._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Join" not in plan
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scores_read_files_and_skip_what_is_seen_again_unchanged(spark, given, monkeypatch):
+    board = Dashboard(new_folder(spark, "again"), live_ttl_s=None, clock=lambda: F.lit(5))
+    board.update(given, 0)
+    plans, scored, whole = [], [], dashboard.contributions
+
+    def watched(flights):
+        plans.append(plan_of(flights))
+        scored.append(flights.count())
+        return whole(flights)
+
+    monkeypatch.setattr(dashboard, "contributions", watched)
+    newest = board.flights(spark).filter("registration <> ''").select("flight_id", "timestamp")
+    again = given.join(newest.limit(20), ["flight_id", "timestamp"], "left_semi")
+    board.update(again, 1)
+    assert scored == [0, 0]
+    board.update(again.withColumn("predicted_delay_minutes", F.lit(200.0).cast("float")).withColumn("ingested_at", F.lit("~")), 2)
+    assert len(scored) == 4 and min(scored[2:]) >= 20
+    # A cached state has a task for each shuffle partition, however few rows; files are read by their size.
+    assert not any("InMemoryTableScan" in plan for plan in plans)
+    assert "changes" not in files.names(spark, f"{board.base}/runs")
+    check(spark, board)
+
+
+def test_flights_without_registration_and_what_a_dead_batch_left(spark, given, monkeypatch):
+    board = Dashboard(new_folder(spark, "blank"), live_ttl_s=None, clock=lambda: F.lit(5))
+    blank = given.limit(40).withColumn("registration", F.expr("CASE WHEN altitude_ft % 2 = 0 THEN '' END"))
+    board.update(blank.unionByName(given), 0)
+    whole = dashboard.contributions
+
+    def dying(flights):
+        raise RuntimeError("no scores")
+
+    later = blank.withColumns({"timestamp": F.col("timestamp") + 50_000_000, "fdi": F.lit(None).cast("float")})
+    monkeypatch.setattr(dashboard, "contributions", dying)
+    monkeypatch.setattr(files, "remove", lambda spark, path: None)
+    with pytest.raises(RuntimeError):
+        board.update(later, 1)
+    monkeypatch.undo()
+    assert files.names(spark, f"{board.base}/runs/changes")
+    assert dashboard.contributions is whole
+    board.update(later, 1)
+    assert "changes" not in files.names(spark, f"{board.base}/runs")
+    check(spark, board)

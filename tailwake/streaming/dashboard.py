@@ -138,8 +138,9 @@ class Dashboard(LiveTables):
     def _derived(self, batch: DataFrame, start: Pointer | None, pointer: Pointer) -> dict[str, list[Run]]:
         spark = batch.sparkSession
         if start is None:
+            # The first batch alone, which is written with one row a flight.
             first = self.store.read(spark, self.live.name, pointer.runs[self.live.name]).select(*COLUMNS)
-            deltas = summed(contributions(live.with_ripple(self.live.current(first, pointer.clock))))
+            deltas = summed(contributions(live.with_ripple(self.live.unexpired(first, pointer.clock))))
             return {PARTS: [self.store.write(deltas, PARTS, pointer.place, pointer.place)]}
         # Written once, as a table of no pointer: the scores read it several times. What a batch that died
         # left of it goes first.

@@ -34,17 +34,20 @@ HOUR_S = 3600
 @dataclass(frozen=True)
 class KeyedTable:
     """Rows by key, the newest by ``order``. A row's mark is in column ``seen_at``; ``ttl`` counts in
-    marks from there, ``None`` keeps all. ``period`` is how many marks are merged into one run."""
+    marks from there, ``None`` keeps all. ``period`` is how many marks are merged into one run. With
+    ``single`` a batch brings one row per key."""
 
     name: str
     key: str
     order: Sequence[str]
     ttl: int | None
     period: int = HOUR_S
+    single: bool = False
 
     def fresh(self, rows: DataFrame, mark: int) -> DataFrame:
-        """Rows of one batch, folded to one per key."""
-        return latest_per_key(rows.withColumn(SEEN, F.lit(mark).cast("bigint")), self.key, *self.order)
+        """Rows of one batch, folded to one per key, where they are not so already."""
+        seen = rows.withColumn(SEEN, F.lit(mark).cast("bigint"))
+        return seen if self.single else latest_per_key(seen, self.key, *self.order)
 
     def expired(self, mark: int, now: int) -> bool:
         return self.ttl is not None and mark <= now - self.ttl
@@ -90,9 +93,9 @@ class LiveTables:
         by_time = ("timestamp", "updated_at")
         self.live = KeyedTable("flights", "flight_id", by_time, live_ttl_s)
         self.alerts = KeyedTable("alerts", "flight_id", by_time, alert_ttl_s)
-        self.rotations = KeyedTable("rotations", "stop", ("timestamp",), rotation_ttl_s)
+        self.rotations = KeyedTable("rotations", "stop", ("timestamp",), rotation_ttl_s, single=True)
         # Statistics have a row a batch; their marks are places, and the newest batches stay.
-        self.stats = KeyedTable("stats", PLACE, ("updated_at",), STATS_BATCHES, STATS_BATCHES)
+        self.stats = KeyedTable("stats", PLACE, ("updated_at",), STATS_BATCHES, STATS_BATCHES, True)
 
     # -- writing --
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tailwake.operators import airlines, summaries
+from tailwake.operators.rotation import rotation_index
 from tailwake.plans import live, serving
 from tailwake.sources import files, runs
 from tailwake.sources.workspace import new_folder
@@ -126,3 +127,16 @@ def test_flights_without_registration_and_what_a_dead_batch_left(spark, given, m
     board.update(later, 1)
     assert "changes" not in files.names(spark, f"{board.base}/runs")
     check(spark, board)
+
+
+def test_rows_that_are_one_per_key_are_not_folded_again(spark, given, monkeypatch):
+    board = Dashboard(new_folder(spark, "first"), live_ttl_s=None, clock=lambda: F.lit(5))
+    plans, whole = [], dashboard.contributions
+    monkeypatch.setattr(dashboard, "contributions", lambda flights: plans.append(plan_of(flights)) or whole(flights))
+    board.update(given.unionByName(given), 0)
+    assert len(plans) == 1 and "max(struct" not in plans[0]
+    check(spark, board)
+    stops = rotation_index(given.unionByName(given)).withColumn("stop", F.struct("registration", "flight_id"))
+    assert plan_of(board.rotations.fresh(stops, 5)).count("Exchange") == 1
+    kept = board.rotation_list(spark).select("registration", "flight_id", "timestamp")
+    assert rows_of(kept) == rows_of(rotation_index(given))
